@@ -1,0 +1,37 @@
+"""Written intermediates.
+
+A frame that several passes must see unchanged, or whose real size the planner should know, is written as a
+parquet table below the shared folder the cluster names in ``spark.checkpoint.dir``. A written table survives the
+loss of executors and carries file sizes, so Catalyst decides broadcast or shuffle join from facts.
+"""
+
+from __future__ import annotations
+
+import tempfile
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """Shared folder for written intermediates; a temporary one only for a local session that names none."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="bazaarlens-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    return f"{scratch_root(spark)}/{label}-{uuid4().hex}"
+
+
+def write_out(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once and return a scan of the written table."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
