@@ -92,7 +92,7 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
     half_dlng = F.radians(lng1 - lng2) / 2
     chord = F.pow(F.sin(half_dlat), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(half_dlng), 2)
     # rounding can lift antipodal points just above 1, where asin is undefined
-    return 2 * 6371 * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+    return 2 * 6371 * F.asin(F.sqrt(clip(chord, high=1.0)))
 
 
 def cut(value: Column, edges: list, labels: list[str], right: bool = True) -> Column:

@@ -40,7 +40,7 @@ class Ordered:
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
             F.coalesce(F.sum("_value").over(before), F.lit(0)).cast(EXACT).alias("_value_before"),
             F.sum("_rows").over(everything).alias("n_rows"),
-            F.sum("_value").over(everything).cast(EXACT).alias("total_value"),
+            F.sum("_value").over(everything).cast(EXACT).alias("grand_total"),
         )
 
     def ranked(self) -> DataFrame:
@@ -48,11 +48,11 @@ class Ordered:
         return (
             self.rows.join(F.broadcast(self._ranges()), "_slot")
             .withColumn("rank", F.col("_rows_before") + F.col("_pos") + 1)
-            .drop("_slot", "_pos", "_rows_before", "_value_before", "total_value")
+            .drop("_slot", "_pos", "_rows_before", "_value_before", "grand_total")
         )
 
     def running(self, value: str) -> DataFrame:
-        """Adds ``rank``, ``n_rows``, ``running_value`` and ``total_value``; the windows stay inside one range."""
+        """Adds ``rank``, ``n_rows``, ``running_value`` and ``grand_total``; the windows stay inside one range."""
         within = Window.partitionBy("_slot").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
         local = self.rows.withColumn("_local", F.sum(value).over(within).cast(EXACT))
         return (

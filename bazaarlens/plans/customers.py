@@ -142,7 +142,7 @@ def customer_pareto(orders: DataFrame, s: Settings) -> DataFrame:
 def customer_pareto_curve(orders: DataFrame, s: Settings) -> DataFrame:
     return customer_pareto(orders, s).select(
         "customer_id", "spend", "rank",
-        rounded(percent(c("running_value"), c("total_value")), 4).alias("cum_rev_pct"),
+        rounded(percent(c("running_value"), c("grand_total")), 4).alias("cum_rev_pct"),
         rounded(percent(c("rank"), c("n_rows")), 4).alias("cum_cust_pct"),
     )
 
@@ -156,8 +156,8 @@ def customer_pareto_summary(orders: DataFrame, s: Settings) -> DataFrame:
 
 
 def concentration(curve: DataFrame) -> DataFrame:
-    reached = c("running_value") * 100 >= c("total_value") * 80
-    share = percent(c("running_value"), c("total_value"))
+    reached = c("running_value") * 100 >= c("grand_total") * 80
+    share = percent(c("running_value"), c("grand_total"))
 
     def top_share(tenths: int) -> Column:
         last = F.floor(c("n_rows") * tenths / 10)

@@ -284,7 +284,7 @@ QUERIES: dict[str, Query] = {
     "win_pct_change": month_changes,
     "win_cumsum": lambda s: seller_running(s).select(
         "seller_id", "revenue", "rank", F.round("running_value", 2).alias("running_value"),
-        rounded(percent(c("running_value"), c("total_value")), 4).alias("cum_pct"),
+        rounded(percent(c("running_value"), c("grand_total")), 4).alias("cum_pct"),
     ),
     "win_threshold": thresholds,
     "win_share": category_share,
