@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def nearest(x: Column, centers: list[float]) -> Column:
-    """Index of the closest center, the first one on a tie."""
-    gaps = [F.abs(x - F.lit(c)) for c in centers]
-    if len(gaps) == 1:
-        return F.lit(0)
-    closest = F.least(*gaps)
-    ladder = F.when(gaps[0] == closest, 0)
-    for j, gap in enumerate(gaps[1:], start=1):
-        ladder = ladder.when(gap == closest, j)
-    return ladder
+def nearest(centers: list[float]) -> str:
+    """SQL for the index of the center closest to x, the first one on a tie."""
+    if len(centers) == 1:
+        return "0"
+    gaps = [f"abs(x - ({c!r}D))" for c in centers]
+    closest = f"least({', '.join(gaps)})"
+    cases = " ".join(f"when {gap} = {closest} then {j}" for j, gap in enumerate(gaps))
+    return f"case {cases} end"
 
 
 def start_positions(n: int, k: int) -> list[tuple[int, int, float]]:
@@ -29,42 +27,40 @@ def start_positions(n: int, k: int) -> list[tuple[int, int, float]]:
     return spots
 
 
+def assigned(points: DataFrame, centers: dict[int, list[float]]) -> DataFrame:
+    """Each point once per k with the index of its cluster."""
+    cells = ", ".join(f"struct({k} as k, {nearest(held)} as cluster)" for k, held in sorted(centers.items()))
+    return points.selectExpr("x", "n", f"inline(array({cells}))")
+
+
 def lloyd(points: DataFrame, starts: dict[int, list[float]], rounds: int = 50) -> dict[int, float]:
     """Within-cluster variance for each k in ``starts``.
 
     ``points`` has one row per distinct value ``x`` with its weight ``n`` and should be a written table. Every round
-    is one pass that serves all k still moving; only the few centers travel to the driver. A k stops when no center
+    is one pass that serves all k still moving; one row per cluster travels to the driver. A k stops when no center
     moves (relative 1e-5, absolute 1e-8); an empty cluster keeps its center.
     """
-    centers = {k: list(c) for k, c in starts.items()}
-    labelled_by = {k: list(c) for k, c in starts.items()}
+    centers = dict(starts)
+    labelled_by = dict(starts)
     moving = set(starts)
     for _ in range(rounds):
         if not moving:
             break
-        ask = []
-        for k in sorted(moving):
-            label = nearest(F.col("x"), centers[k])
-            for j in range(k):
-                mine = label == j
-                ask.append(F.sum(F.when(mine, F.col("n"))).alias(f"n_{k}_{j}"))
-                ask.append(F.sum(F.when(mine, F.col("n") * F.col("x"))).alias(f"s_{k}_{j}"))
-        got = points.agg(*ask).first()
+        sums = assigned(points, {k: centers[k] for k in moving}).groupBy("k", "cluster").agg(
+            (F.sum(F.col("n") * F.col("x")) / F.sum("n")).alias("mean")
+        )
+        means = {(r["k"], r["cluster"]): r["mean"] for r in sums.collect()}
         for k in sorted(moving):
             labelled_by[k] = centers[k]
-            found = [
-                got[f"s_{k}_{j}"] / got[f"n_{k}_{j}"] if got[f"n_{k}_{j}"] else centers[k][j] for j in range(k)
-            ]
+            found = [means.get((k, j), held) for j, held in enumerate(centers[k])]
             if all(abs(a - b) <= 1e-8 + 1e-5 * abs(b) for a, b in zip(found, centers[k])):
                 moving.discard(k)
             else:
                 centers[k] = found
-    ask = []
-    for k, held in centers.items():
-        label = nearest(F.col("x"), labelled_by[k])
-        center = F.lit(held[0])
-        for j in range(1, k):
-            center = F.when(label == j, F.lit(held[j])).otherwise(center)
-        ask.append(F.sum(F.col("n") * F.pow(F.col("x") - center, 2)).alias(f"v_{k}"))
-    got = points.agg(*ask).first()
-    return {k: got[f"v_{k}"] for k in centers}
+    flat = " ".join(
+        f"when k = {k} and cluster = {j} then {c!r}D" for k, held in sorted(centers.items()) for j, c in enumerate(held)
+    )
+    spread = assigned(points, labelled_by).groupBy("k").agg(
+        F.sum(F.col("n") * F.pow(F.col("x") - F.expr(f"case {flat} end"), 2)).alias("within")
+    )
+    return {r["k"]: r["within"] for r in spread.collect()}

@@ -10,7 +10,7 @@ from bazaarlens.plans import customers, distance, intermediate, marts, staging
 from bazaarlens.scratch import write_out
 from bazaarlens.sources import catalog
 from bazaarlens.sources.csv_files import read_csv_folder
-from bazaarlens.sources.parquet_tables import MAPPINGS, raw_table
+from bazaarlens.sources.parquet_tables import MAPPINGS, raw_tables
 
 STAGED = {
     "stg_orders": (staging.stg_orders, "orders"),
@@ -47,7 +47,7 @@ class Star:
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, sf_dir: str) -> Star:
-        return cls(lambda name: raw_table(spark, sf_dir, name))
+        return cls(raw_tables(spark, sf_dir))
 
     @classmethod
     def from_frames(cls, frames: Mapping[str, DataFrame]) -> Star:
