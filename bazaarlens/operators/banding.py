@@ -22,8 +22,7 @@ def gap_table(df: DataFrame, by: str) -> DataFrame:
 def histogram(counted: DataFrame, value: str, count: str, bins: int) -> DataFrame:
     """Equal-width bins between the smallest and largest value, the last one closed; empty bins have 0.
 
-    ``counted`` holds one row per distinct value with its count and is read twice: pass a small aggregate or a
-    written table.
+    ``counted`` holds values with their counts and is read more than once: pass a written table.
     """
     limits = counted.agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
     edges = limits.select(

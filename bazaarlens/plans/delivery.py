@@ -9,6 +9,7 @@ from bazaarlens.functions.columns import clip, correlation, cut, days_between, r
 from bazaarlens.operators.banding import gap_columns, histogram, top_rows
 from bazaarlens.plans.orders import delivered, exact_avg, in_window
 from bazaarlens.plans.settings import WEIGHT_EDGES, WEIGHT_LABELS, Settings
+from bazaarlens.scratch import write_out
 
 c = F.col
 
@@ -37,9 +38,9 @@ def delivery_clipped(orders: DataFrame, s: Settings) -> DataFrame:
 
 
 def delivery_histogram(orders: DataFrame, s: Settings, value: str, bins: int = 40) -> DataFrame:
-    """Histogram of one clipped column; the input has shrunk to one row per day count before it is binned."""
+    """Histogram of one clipped column. One row per day count is written, and only those few rows are binned."""
     counted = delivery_clipped(orders, s).groupBy(value).agg(F.sum("orders").alias("orders"))
-    return histogram(counted, value, "orders", bins)
+    return histogram(write_out(counted, "day-counts"), value, "orders", bins)
 
 
 def avg_days_early(orders: DataFrame, s: Settings) -> DataFrame:
