@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.columns import EXACT, percent
-from bazaarlens.scratch import write_out
+from bazaarlens.session import write_out
 
 # monotonically_increasing_id keeps the partition number above bit 33 and the row number inside it below
 ROW_BITS = 33

@@ -14,7 +14,7 @@ from bazaarlens.operators.kmeans import lloyd, start_positions
 from bazaarlens.operators.ordering import Ordered, global_median, order_globally, quantile_bucket, share_of_total
 from bazaarlens.plans.orders import exact_avg, in_window
 from bazaarlens.plans.settings import Settings
-from bazaarlens.scratch import write_out
+from bazaarlens.session import write_out
 
 c = F.col
 

@@ -9,7 +9,7 @@ from bazaarlens.functions.columns import clip, correlation, cut, days_between, r
 from bazaarlens.operators.banding import gap_columns, histogram, top_rows
 from bazaarlens.plans.orders import delivered, exact_avg, in_window
 from bazaarlens.plans.settings import WEIGHT_EDGES, WEIGHT_LABELS, Settings
-from bazaarlens.scratch import write_out
+from bazaarlens.session import write_out
 
 c = F.col
 

@@ -15,7 +15,7 @@ from bazaarlens.plans.orders import exact_avg
 from bazaarlens.plans.settings import (
     DEADLINE_EDGES, DEADLINE_LABELS, DISTANCE_EDGES, DISTANCE_LABELS, SPEED_EDGES, SPEED_LABELS, Settings,
 )
-from bazaarlens.scratch import write_out
+from bazaarlens.session import write_out
 
 c = F.col
 
@@ -31,7 +31,8 @@ def order_distance(orders: DataFrame, lines: DataFrame, sellers: DataFrame, cent
     mean distance to its distinct sellers.
 
     Sellers get their point before they meet the orders, lines shrink to (order, seller) pairs and to one weight row
-    per order, so all that is joined on the order key is already aggregated on it.
+    per order. The orders are read once: the pairs join them on the order key and are averaged on that same key, with
+    no shuffle in between. The status is part of the grouping so that a filter on it still reaches the scan.
     """
     customer_point = centroids.select(
         c("zip_code_prefix").alias("delivery_zip_code_prefix"), c("latitude").alias("_clat"), c("longitude").alias("_clng")
@@ -44,19 +45,18 @@ def order_distance(orders: DataFrame, lines: DataFrame, sellers: DataFrame, cent
     seller_point = sellers.select("seller_id", "zip_code_prefix").join(centroids, "zip_code_prefix").select(
         "seller_id", c("latitude").alias("_slat"), c("longitude").alias("_slng")
     )
-    pairs = lines.select("order_id", "seller_id").distinct().join(seller_point, "seller_id")
+    pairs = lines.select("order_id", "seller_id").distinct().join(seller_point, "seller_id").drop("seller_id")
     weights = lines.filter(c("product_known")).groupBy("order_id").agg(
         F.avg("weight_g").alias("weight_g"), F.max("category_name").alias("category_name")
     )
     km = haversine_km(c("_slat"), c("_slng"), c("_clat"), c("_clng"))
-    places = base.select("order_id", "_clat", "_clng")
-    distances = pairs.join(places, "order_id").groupBy("order_id").agg(F.avg(km).alias("dist_km"))
-    return (
-        base.drop("_clat", "_clng").join(distances, "order_id", "left").join(weights, "order_id", "left")
-        .select(
-            "order_id", "delivery_state", "status", "delivery_time_days", "is_delivered_on_time", "review_score",
-            "est_buffer_days", "weight_g", "category_name", "dist_km",
-        )
+    of_order = ["delivery_state", "delivery_time_days", "is_delivered_on_time", "review_score", "est_buffer_days"]
+    met = base.join(pairs, "order_id", "left").groupBy("order_id", "status").agg(
+        *[F.first(n).alias(n) for n in of_order], F.avg(km).alias("dist_km")
+    )
+    return met.join(weights, "order_id", "left").select(
+        "order_id", "delivery_state", "status", "delivery_time_days", "is_delivered_on_time", "review_score",
+        "est_buffer_days", "weight_g", "category_name", "dist_km",
     )
 
 
@@ -187,6 +187,6 @@ def correlation_matrix(d: DataFrame) -> DataFrame:
     found = factors.select(F.inline(F.array(*cells))).groupBy("a", "b").agg(
         rounded(correlation(c("x"), c("y")), 6).alias("corr")
     )
-    mirrored = F.array(F.struct(c("a").alias("factor"), c("b").alias("against")), F.struct(c("b"), c("a")))
-    once = F.array(F.struct(c("a").alias("factor"), c("b").alias("against")))
+    once, turned = (F.struct(c(x).alias("factor"), c(y).alias("against")) for x, y in ("ab", "ba"))
+    mirrored, once = F.array(once, turned), F.array(once)
     return found.select(F.explode(F.when(c("a") == c("b"), once).otherwise(mirrored)).alias("p"), "corr").select("p.*", "corr")

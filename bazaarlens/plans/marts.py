@@ -180,13 +180,15 @@ def weighted_avg(value: str, weight: str):
 def mart_seller_performance(lines: DataFrame, orders: DataFrame, sellers: DataFrame) -> DataFrame:
     """Per seller, item-grain averages (an order counts once per line); a seller without lines has no row.
 
-    Lines shrink to seller and order before the join, which also turns the distinct order count into a plain count;
-    the category count is a second small aggregation instead of an expansion of every line.
+    Lines shrink to seller and order before the join, which also turns the distinct order count into a plain count.
+    The distinct (seller, category) pairs enter the same final aggregation as rows of their own, instead of an
+    expansion of every line or a join of two per-seller tables.
     """
     facts = orders.select("order_id", "delivery_time_days", "review_score", "is_valid_delivery", "is_delivered_on_time")
     per_order = seller_order_lines(lines).join(facts, "order_id", "left")
+    kinds = lines.select("seller_id", "category_name").distinct()
     weight = c("line_rows")
-    per_seller = per_order.groupBy("seller_id").agg(
+    per_seller = per_order.unionByName(kinds, allowMissingColumns=True).groupBy("seller_id").agg(
         F.count("order_id").alias("total_orders"),
         F.sum("items").alias("total_items_sold"),
         F.round(F.sum("price_sum"), 2).alias("total_revenue"),
@@ -201,19 +203,10 @@ def mart_seller_performance(lines: DataFrame, orders: DataFrame, sellers: DataFr
             2,
         ).alias("on_time_delivery_rate"),
         rounded(weighted_avg("review_score", "line_rows"), 2).alias("avg_review_score"),
+        F.count("category_name").alias("distinct_categories"),
     )
-    kinds = (
-        lines.select("seller_id", "category_name").distinct()
-        .groupBy("seller_id").agg(F.count("category_name").alias("distinct_categories"))
-        .withColumnRenamed("seller_id", "_seller")
-    )
-    place = sellers.select("seller_id", "city", "state")
-    return (
-        per_seller.join(kinds, c("seller_id").eqNullSafe(c("_seller")))
-        .join(place, "seller_id", "left")
-        .select(
-            "seller_id", "city", "state", "total_orders", "total_items_sold", "total_revenue", "avg_item_price",
-            "total_freight_charged", "avg_delivery_time_days", "on_time_delivery_rate", "avg_review_score",
-            "distinct_categories",
-        )
+    return per_seller.join(sellers.select("seller_id", "city", "state"), "seller_id", "left").select(
+        "seller_id", "city", "state", "total_orders", "total_items_sold", "total_revenue", "avg_item_price",
+        "total_freight_charged", "avg_delivery_time_days", "on_time_delivery_rate", "avg_review_score",
+        "distinct_categories",
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlens.plans import customers, distance, intermediate, marts, staging
-from bazaarlens.scratch import write_out
+from bazaarlens.session import write_out
 from bazaarlens.sources import catalog
 from bazaarlens.sources.csv_files import read_csv_folder
 from bazaarlens.sources.parquet_tables import MAPPINGS, raw_tables
@@ -138,9 +138,7 @@ class Star:
             case "zip_centroid":
                 return distance.zip_centroid(t("stg_geolocation"))
             case "order_distance":
-                return distance.order_distance(
-                    t("fct_orders"), t("product_lines"), t("stg_sellers"), t("zip_centroid")
-                )
+                return distance.order_distance(t("fct_orders"), t("product_lines"), t("stg_sellers"), t("zip_centroid"))
         raise KeyError(name)
 
 

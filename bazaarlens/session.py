@@ -1,4 +1,4 @@
-"""Written intermediates.
+"""Session helpers: adaptive skew handling and written intermediates.
 
 A frame that several passes must see unchanged, or whose real size the planner should know, is written as a
 parquet table below the shared folder the cluster names in ``spark.checkpoint.dir``. A written table survives the
@@ -7,11 +7,29 @@ loss of executors and carries file sizes, so Catalyst decides broadcast or shuff
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: set[str] = set()
+
+# A hot key on the big side of a join is split even where the split costs one more shuffle above the join.
+SKEW_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def prefer_skew_handling(spark: SparkSession) -> None:
+    """Turn on adaptive skew handling where the session leaves it open."""
+    for key, value in SKEW_SETTINGS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
 
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates; a temporary one only for a local session that names none."""
@@ -21,12 +39,23 @@ def scratch_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="bazaarlens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid4().hex}"
+    _written.add(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this process has written to scratch; frames composed on it cannot be read afterwards."""
+    for path in sorted(_written):
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    _written.clear()
 
 
 def write_out(df: DataFrame, label: str) -> DataFrame:

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from bazaarlens.plans.star import MARTS, Star, build
-from bazaarlens.scratch import scratch_path
+from bazaarlens.session import scratch_path
 from bazaarlens.sources import catalog, csv_files
 from tests.helpers import table
 
