@@ -7,14 +7,11 @@ loss of executors and carries file sizes, so Catalyst decides broadcast or shuff
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: set[str] = set()
+_databases: dict[str, str] = {}
 
 # A hot key on the big side of a join is split even where the split costs one more shuffle above the join.
 SKEW_SETTINGS = {
@@ -32,30 +29,38 @@ def prefer_skew_handling(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for written intermediates; a temporary one only for a local session that names none."""
+    """Shared folder for written intermediates: ``spark.checkpoint.dir``, else a folder of the session's warehouse.
+
+    A cluster must name the checkpoint folder; only a local session falls back to its warehouse.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="bazaarlens-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+
+
+def scratch_database(spark: SparkSession) -> str:
+    """The database of this process's intermediates, located in the shared folder."""
+    root = scratch_root(spark)
+    if root not in _databases:
+        name = f"scratch_{uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{root}/{name}'")
+        _databases[root] = name
+    return _databases[root]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    path = f"{scratch_root(spark)}/{label}-{uuid4().hex}"
-    _written.add(path)
-    return path
+    """A fresh path inside the scratch database's folder; it goes with the database."""
+    return f"{scratch_root(spark)}/{scratch_database(spark)}/{label}-{uuid4().hex}"
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove what this process has written to scratch; frames composed on it cannot be read afterwards."""
-    for path in sorted(_written):
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    _written.clear()
+    for name in _databases.values():
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    _databases.clear()
 
 
 def write_out(df: DataFrame, label: str) -> DataFrame:
