@@ -72,11 +72,15 @@ def dedup(
             "doc_id", F.struct("points", F.col("doc_id").isNotNull(), -F.coalesce("doc_id", F.lit(0)))
         ).alias("keep_id"),
     )
-    return recipes.join(groups, "recipe").select(
+    # written, so that the join has exchanges of its own and a list that many documents share can be split
+    shared = write_out(groups.where("group_size > 1"), "chunk-groups")
+    alone = F.col("group_size").isNull()
+    keep = F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id"))
+    return recipes.join(shared, "recipe", "left").select(
         "doc_id",
-        "keep_id",
-        "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        keep.alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).alias("group_size"),
+        F.col("doc_id").eqNullSafe(keep).alias("kept"),
         "text_sha256",
     )
 

@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarlens.llm import chat_turns, chunk_recipes
+from bazaarlens.llm import chat_turns, chunk_recipes, pattern_packing, zip_warc
+from bazaarlens.llm.shipping import ship
+
+
+def vocabulary(name: str) -> str:
+    """The text of a public tokenizer's file, read by the driver."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_text()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -24,13 +35,24 @@ def op8_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_turns.digests(chat_turns.format_conversations(turns.unionByName(own)))
 
 
+def op9_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zip_warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pattern_packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chunk_recipes": op4_chunk_recipes,
     "op8_chat_turns": op8_chat_turns,
+    "op9_zip_warc": op9_zip_warc,
+    "op10_pattern_packing": op10_pattern_packing,
 }
 
 #: SQL can't express the others; tests hold them against brute force.
 ORACLES = {
     "op4_chunk_recipes": chunk_recipes.ORACLE,
     "op8_chat_turns": chat_turns.ORACLE,
+    "op9_zip_warc": zip_warc.ORACLE,
 }
