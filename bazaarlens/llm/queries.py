@@ -8,10 +8,14 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarlens.llm import chat_turns, chunk_recipes, pattern_packing, zip_warc
+from bazaarlens.llm import chat_turns, chunk_recipes, pattern_packing, word_transducer, zip_warc
 from bazaarlens.llm.shipping import ship
 
 
+#: Words of the BPE lexicon; a parameter of speed alone, as other words are merged.
+LEXICON_WORDS = 50_000
+
+
 def vocabulary(name: str) -> str:
     """The text of a public tokenizer's file, read by the driver."""
     import public_tokenizers
@@ -24,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_word_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, bpe = table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")
+    lexicon = word_transducer.lexicon_file(docs, bpe, LEXICON_WORDS)
+    return word_transducer.encode(docs, bpe, lexicon, digests=True)
+
+
 def op4_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.dedup(table(spark, sf_dir, "documents"))
 
@@ -44,6 +54,7 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_word_transducer": op1_word_transducer,
     "op4_chunk_recipes": op4_chunk_recipes,
     "op8_chat_turns": op8_chat_turns,
     "op9_zip_warc": op9_zip_warc,
