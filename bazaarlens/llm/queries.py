@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarlens.llm import chat_turns, chunk_recipes, pattern_packing, word_transducer, zip_warc
+from bazaarlens.llm import byte_gru, chat_turns, chunk_recipes, pattern_packing, word_transducer, zip_warc
 from bazaarlens.llm.shipping import ship
 
 
@@ -38,6 +38,11 @@ def op4_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return byte_gru.predict(docs, byte_gru.fit(docs))
+
+
 def op8_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"  # the conversation -1 of the contract: control strings inside texts
@@ -56,6 +61,7 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_word_transducer": op1_word_transducer,
     "op4_chunk_recipes": op4_chunk_recipes,
+    "op6_byte_gru": op6_byte_gru,
     "op8_chat_turns": op8_chat_turns,
     "op9_zip_warc": op9_zip_warc,
     "op10_pattern_packing": op10_pattern_packing,
