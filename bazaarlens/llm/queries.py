@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarlens.llm import byte_gru, chat_turns, chunk_recipes, pattern_packing, word_transducer, zip_warc
+from bazaarlens.llm import byte_gru, chat_turns, chunk_recipes, pattern_packing, recompression, word_transducer, zip_warc
 from bazaarlens.llm.shipping import ship
 
 
@@ -34,6 +34,10 @@ def op1_word_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_transducer.encode(docs, bpe, lexicon, digests=True)
 
 
+def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.remove_repeats(table(spark, sf_dir, "documents"), digests=True)
+
+
 def op4_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.dedup(table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_word_transducer": op1_word_transducer,
+    "op2_recompression": op2_recompression,
     "op4_chunk_recipes": op4_chunk_recipes,
     "op6_byte_gru": op6_byte_gru,
     "op8_chat_turns": op8_chat_turns,
