@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarlens.llm import byte_gru, chat_turns, chunk_recipes, pattern_packing, recompression, word_transducer, zip_warc
+from bazaarlens.llm import bottom_k, byte_gru, chat_turns, chunk_recipes, pattern_packing, recompression, word_transducer, zip_warc
 from bazaarlens.llm.shipping import ship
 
 
@@ -38,6 +38,10 @@ def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.remove_repeats(table(spark, sf_dir, "documents"), digests=True)
 
 
+def op3_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottom_k.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.dedup(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_word_transducer": op1_word_transducer,
     "op2_recompression": op2_recompression,
+    "op3_bottom_k": op3_bottom_k,
     "op4_chunk_recipes": op4_chunk_recipes,
     "op6_byte_gru": op6_byte_gru,
     "op8_chat_turns": op8_chat_turns,
