@@ -17,6 +17,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from pathlib import Path
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +25,11 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaarlens.session import write_out
+
 # fixed value: white space of the pre-tokenizer's pattern (Unicode White_Space)
 SPACE = "\t-\r \x85\xa0  -     　"
-MEMO = 300_000  # remembered words of a Python worker; a full memo is emptied
+MEMO = 250_000  # remembered words of a Python worker; a full memo is emptied
 
 
 def minimal_automaton(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -144,6 +147,7 @@ class WordBpe:
         self.token = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         pattern = made["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words_of = regex.compile(pattern).findall
+        self.ascii_words_of = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), re.ASCII).findall
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split
         self.space = re.compile(f"[{SPACE}]+")
         self.odd_space = re.compile("[\x1c-\x1f]").search  # white space to str.split but not to the pattern
@@ -164,10 +168,11 @@ class WordBpe:
 
     def words(self, piece: str) -> list[str]:
         """Pre-tokens of a part without white space: composed, each character lowered by itself, cut by the pattern."""
-        if not piece.isascii():
-            piece = unicodedata.normalize("NFC", piece)
-            return self.words_of("".join([c.lower() for c in piece]))
-        return self.words_of(piece.lower())
+        if piece.isascii():
+            piece = piece.lower()
+            return [piece] if piece.isalpha() else self.ascii_words_of(piece)
+        piece = "".join([c.lower() for c in unicodedata.normalize("NFC", piece)])
+        return [piece] if piece.isalpha() else self.words_of(piece)
 
     def merge(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of words by their merges: in every round each word merges its first pair of the lowest rank."""
@@ -208,48 +213,56 @@ class WordBpe:
 
 
 class Encoder:
-    """Encodes batches of texts: lexicon for frequent words, merges for the rest, a bounded memo for both."""
+    """Encodes batches of texts: lexicon for frequent words, merges for the rest, a bounded memo for both.
+
+    What is known of a part of text is (ids,) or, with ``shown``, (ids, number, ids as text, tokens as text).
+    """
+
+    def __init__(self, bpe: WordBpe, lexicon: Transducer, shown: bool = False):
+        self.bpe, self.lexicon, self.shown = bpe, lexicon, shown
+        self.memo: dict[str, tuple] = {}
+        self.special = {s: self.known((i,)) for s, i in bpe.special.items()}
 
-    def __init__(self, bpe: WordBpe, lexicon: Transducer):
-        self.bpe, self.lexicon = bpe, lexicon
-        self.memo: dict[str, tuple[int, ...]] = {}
+    def known(self, ids: tuple[int, ...]) -> tuple:
+        return (ids, len(ids), " ".join([str(i) for i in ids]), self.bpe.decode(ids)) if self.shown else (ids,)
 
     def ids_of(self, words: list[str]) -> list[tuple[int, ...]]:
         raw = [w.encode() for w in words]
         rank = self.lexicon.ranks(raw)
         starts, ids = self.lexicon.starts, self.lexicon.ids
-        out = [() if r < 0 else tuple(ids[starts[r] : starts[r + 1]].tolist()) for r in rank.tolist()]
+        low, high = starts[rank].tolist(), starts[rank + 1].tolist()
+        out = [tuple(ids[a:b].tolist()) if r >= 0 else () for r, a, b in zip(rank.tolist(), low, high, strict=True)]
         unseen = np.flatnonzero(rank < 0).tolist()
         for i, made in zip(unseen, self.bpe.merge([raw[i] for i in unseen]), strict=True):
             out[i] = made
         return out
 
     def learn(self, pieces: set[str]) -> None:
-        """Remember the ids of parts of text."""
-        new = [p for p in pieces if p not in self.memo]
+        """Remember parts of text; a full memo keeps those that the present texts hold."""
+        new = list(pieces - self.memo.keys())
         if len(self.memo) + len(new) > MEMO:
-            self.memo.clear()
-            new = list(pieces)
+            self.memo = {p: self.memo[p] for p in pieces & self.memo.keys()}
         words_of = [self.bpe.words(p) for p in new]
-        distinct = list(dict.fromkeys(w for words in words_of for w in words))
-        known = dict(zip(distinct, self.ids_of(distinct), strict=True))
+        distinct = list({w for words in words_of for w in words})
+        ids = dict(zip(distinct, self.ids_of(distinct), strict=True))
         for piece, words in zip(new, words_of, strict=True):
-            self.memo[piece] = known[words[0]] if len(words) == 1 else tuple(i for w in words for i in known[w])
+            self.memo[piece] = self.known(ids[words[0]] if len(words) == 1 else tuple([i for w in words for i in ids[w]]))
 
-    def encode(self, texts: list[str]) -> Iterator[list[tuple[int, ...]]]:
-        """For each text its parts' ids, in order; special strings are parts of their own."""
+    def encode(self, texts: list[str]) -> Iterator[list[tuple]]:
+        """For each text what is known of its parts, in order; special strings are parts of their own."""
         special, cut = self.bpe.special, self.bpe.cut_special
         for group in _in_groups(texts, 1 << 20):
             split: list[list[str]] = []
             for text in group:
                 if any(s in text for s in special):
-                    split.append([p for i, part in enumerate(cut(text)) for p in ([part] if i % 2 else self.bpe.pieces(part))])
+                    parts = [p for i, part in enumerate(cut(text)) for p in ([part] if i % 2 else self.bpe.pieces(part))]
+                    split.append([p for p in parts if p])
                 else:
                     split.append(self.bpe.pieces(text))
-            self.learn({p for parts in split for p in parts if p not in special})
-            self.memo.update({s: (i,) for s, i in special.items()})
+            self.learn(set().union(*split) - special.keys() - {""})
+            find = (self.memo | self.special if any(not special.keys().isdisjoint(p) for p in split) else self.memo).__getitem__
             for parts in split:
-                yield [self.memo[p] for p in parts if p]
+                yield list(map(find, filter(None, parts)))
 
 
 def _in_groups(texts: list[str], characters: int) -> Iterator[list[str]]:
@@ -266,7 +279,7 @@ def _in_groups(texts: list[str], characters: int) -> Iterator[list[str]]:
 
 
 def frequent_words(docs: DataFrame, tokenizer_json: str, n: int) -> list[str]:
-    """The n most frequent pre-tokens over all texts; equal counts in the order of their bytes.
+    """At most n of the most frequent pre-tokens over all texts, without those that occur once.
 
     A task counts its own words first, so that a word of every document is one row per task.
     """
@@ -296,11 +309,23 @@ def frequent_words(docs: DataFrame, tokenizer_json: str, n: int) -> list[str]:
         yield rows()
 
     words = docs.select("text").mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in words.orderBy(F.desc("n"), "word").limit(n).collect()]
+    words = write_out(words.where("n > 1"), "word-counts")
+    # a few hundred classes of counts say from which count on n words at most are left
+    kind = F.floor(F.log2("n") * 16)
+    sizes = words.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("kind")).collect()
+    least, taken = None, 0
+    for row in sizes:
+        taken += row["words"]
+        if taken > n:
+            break
+        least = row["kind"]
+    if least is None:
+        return []
+    return [r["word"] for r in words.where(kind >= least).select("word").collect()]
 
 
 _bpes: dict[str, WordBpe] = {}
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
 def _bpe(tokenizer_json: str) -> WordBpe:
@@ -315,7 +340,7 @@ def lexicon_file(docs: DataFrame, tokenizer_json: str, n: int) -> str:
     lexicon = Transducer.compiled(dict(zip(words, bpe.merge(words), strict=True)))
     path = Path(tempfile.mkdtemp(prefix="lexicon-"))  # the driver's copy, which Spark serves to executors
     lexicon.save(str(path / "lexicon"))
-    name = f"lexicon-{hashlib.md5((path / 'lexicon').read_bytes()).hexdigest()}"
+    name = f"lexicon-{uuid4().hex}"
     (path / "lexicon").rename(path / name)
     docs.sparkSession.sparkContext.addFile(str(path / name))
     return name
@@ -330,35 +355,24 @@ def encode(docs: DataFrame, tokenizer_json: str, lexicon: str, digests: bool = F
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # one vocabulary file, about 2 MB
 
     def encoder() -> Encoder:
-        if lexicon not in _encoders:
+        if (lexicon, digests) not in _encoders:
             _encoders.clear()
-            _encoders[lexicon] = Encoder(_bpe(shared.value), Transducer.mapped(SparkFiles.get(lexicon)))
-        return _encoders[lexicon]
+            _encoders[lexicon, digests] = Encoder(_bpe(shared.value), Transducer.mapped(SparkFiles.get(lexicon)), digests)
+        return _encoders[lexicon, digests]
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
-            ids = [[i for part in parts for i in part] for parts in encoder().encode(texts)]
+            ids = [[i for part in parts for i in part[0]] for parts in encoder().encode(texts)]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder()
-        shown: dict[tuple[int, ...], tuple[str, str]] = {}
         for batch in batches:
             rows: list[tuple[int, str, str]] = []
             texts = [t or "" for t in batch["text"].to_pylist()]
-            for parts in own.encode(texts):
-                if len(shown) > MEMO:
-                    shown.clear()
-                said = []
-                for part in parts:
-                    known = shown.get(part)
-                    if known is None:
-                        known = shown[part] = (" ".join(map(str, part)), own.bpe.decode(part))
-                    said.append(known)
-                ids = " ".join([s[0] for s in said]).encode()
-                decoded = " ".join([s[1] for s in said]).encode()
-                rows.append((sum(map(len, parts)), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+            for parts in encoder().encode(texts):
+                ids, decoded = (" ".join([p[i] for p in parts]).encode() for i in (2, 3))
+                rows.append((sum([p[1] for p in parts]), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
             columns = zip(*rows, strict=True) if rows else ([], [], [])
             kinds = (pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
