@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarlens.llm import bottom_k, byte_gru, chat_turns, chunk_recipes, pattern_packing, recompression, word_transducer, zip_warc
+from bazaarlens.llm import bottom_k, byte_gru, chat_turns, chunk_recipes, flat_graph, license_bands, pattern_packing, recompression, word_transducer, zip_warc
 from bazaarlens.llm.shipping import ship
 
 
@@ -46,11 +46,19 @@ def op4_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_graph.near_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op6_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return byte_gru.predict(docs, byte_gru.fit(docs))
 
 
+def op7_license_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_bands.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"  # the conversation -1 of the contract: control strings inside texts
@@ -71,7 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_recompression": op2_recompression,
     "op3_bottom_k": op3_bottom_k,
     "op4_chunk_recipes": op4_chunk_recipes,
+    "op5_flat_graph": op5_flat_graph,
     "op6_byte_gru": op6_byte_gru,
+    "op7_license_bands": op7_license_bands,
     "op8_chat_turns": op8_chat_turns,
     "op9_zip_warc": op9_zip_warc,
     "op10_pattern_packing": op10_pattern_packing,
@@ -80,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: SQL can't express the others; tests hold them against brute force.
 ORACLES = {
     "op4_chunk_recipes": chunk_recipes.ORACLE,
+    "op7_license_bands": license_bands.oracle(),
     "op8_chat_turns": chat_turns.ORACLE,
     "op9_zip_warc": zip_warc.ORACLE,
 }
