@@ -195,38 +195,53 @@ def predict(docs: DataFrame, tagger: ByteTagger | None) -> DataFrame:
 
     def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch["text"]
-            if len(text) == 0:
-                continue
-            if pa.types.is_large_string(text.type):
-                offsets, kind = np.frombuffer(text.buffers()[1], np.int64), np.int64
-            else:
-                offsets, kind = np.frombuffer(text.buffers()[1], np.int32), np.int64
-            offsets = offsets[text.offset : text.offset + len(text) + 1].astype(kind)
-            data = text.buffers()[2]
-            flat = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(1, np.uint8)
-            starts, ends = offsets[:-1], offsets[1:].copy()
-            if text.null_count:
-                ends = np.where(np.asarray(text.is_null()), starts, ends)
-            lettered = _has_letter(text, flat, starts, ends)
-            langs, scores = [UNKNOWN] * len(text), np.zeros(len(text))
-            if tagger is not None:
-                own = np.flatnonzero(lettered)
-                total = tagger.pooled(flat, starts[own], ends[own])
-                mean = total[:, :-1] / np.maximum(total[:, -1:], 1)
-                best = mean.argmax(1)
-                scores[own] = np.clip(mean[np.arange(len(own)), best], 0, 1)
-                for i, k in zip(own.tolist(), best.tolist(), strict=True):
-                    langs[i] = tagger.langs[k]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["held_out"], pa.array(langs), pa.array(scores)],
-                ["doc_id", "held_out", "lang_pred", "score"],
-            )
+            if batch.num_rows:
+                langs, scores = _labelled(batch["text"], tagger)
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"], batch["held_out"], pa.array(langs), pa.array(scores)],
+                    ["doc_id", "held_out", "lang_pred", "score"],
+                )
 
     marked = docs.select(F.col("doc_id").cast("long"), F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "text")
     return marked.mapInArrow(tagged, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def accepted(docs: DataFrame, tagger: ByteTagger | None) -> DataFrame:
+    """The rows, unchanged, whose text gets a language; a text that is NULL or has no letter is rejected.
+
+    If nothing was learned, nothing is rejected but those.
+    """
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                langs, _ = _labelled(batch["text"], tagger or ByteTagger([""]))
+                yield batch.filter(pa.array([lang != UNKNOWN for lang in langs], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
+def _labelled(text: pa.Array, tagger: ByteTagger | None) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text of an Arrow column."""
+    kind = np.int64 if pa.types.is_large_string(text.type) else np.int32
+    offsets = np.frombuffer(text.buffers()[1], kind)[text.offset : text.offset + len(text) + 1].astype(np.int64)
+    data = text.buffers()[2]
+    flat = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(1, np.uint8)
+    starts, ends = offsets[:-1], offsets[1:].copy()
+    if text.null_count:
+        ends = np.where(np.asarray(text.is_null()), starts, ends)
+    langs, scores = [UNKNOWN] * len(text), np.zeros(len(text))
+    if tagger is not None:
+        own = np.flatnonzero(_has_letter(text, flat, starts, ends))
+        total = tagger.pooled(flat, starts[own], ends[own])
+        mean = total[:, :-1] / np.maximum(total[:, -1:], 1)
+        best = mean.argmax(1)
+        scores[own] = np.clip(mean[np.arange(len(own)), best], 0, 1)
+        for i, k in zip(own.tolist(), best.tolist(), strict=True):
+            langs[i] = tagger.langs[k]
+    return langs, scores
+
+
 def _has_letter(text: pa.Array, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Whether each text has a letter; only texts without an ASCII letter are looked at by character."""
     lowered = flat | 32

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaarlens.llm.words import U, Words, combine, mix, parts
 from bazaarlens.session import prefer_skew_handling, write_out
@@ -253,9 +254,12 @@ def _part_no(n: int) -> int:
     return TaskContext.get().partitionId() << 32 | n
 
 
-def remove_repeats(docs: DataFrame, digests: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, digests: bool = False, carry: list[str] | None = None, layout: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, and kept; with ``digests`` kept_sha256 in place of it.
 
+    ``carry`` names columns that come along, as one struct ``carried``. With ``layout`` a text that loses nothing keeps
+    its white space.
+
     A word goes when a window covers it whose words also stand, in this order, in a document with a smaller doc_id;
     ``kept`` joins the others by one space. NULL and empty texts have no words. A row with a NULL doc_id loses nothing
     and is no source. Rows that repeat a doc_id are one document to each other, so neither removes from the other.
@@ -264,7 +268,8 @@ def remove_repeats(docs: DataFrame, digests: bool = False) -> DataFrame:
     spark = docs.sparkSession
     prefer_skew_handling(spark)
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = docs.select(F.col("doc_id").cast("long"), "text", *([F.struct(*carry).alias("carried")] if carry else []))
+    also = [docs.schema["carried"]] if carry else []
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = 0
@@ -275,20 +280,21 @@ def remove_repeats(docs: DataFrame, digests: bool = False) -> DataFrame:
                 yield _entries(buckets, _part_no(n), ids, own.reach, own.span)
                 n += 1
 
-    known = docs.where("doc_id is not null and text is not null")
+    known = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
     told = _answers(known.mapInArrow(spans, _ENTRIES), True, "repeat-spans")
-    kept = "kept_sha256 string" if digests else "kept string"
-    state = f"doc_id long, n_words long, n_removed long, {kept}, text string, marks binary"
+    kept = "kept_sha256" if digests else "kept"
+    last = T.StructType.fromDDL(f"doc_id long, n_words long, n_removed long, {kept} string")
+    state = T.StructType([*last, *also, *T.StructType.fromDDL("text string, marks binary")])
 
     def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows without a question are done; the others keep their text and what is known."""
         for batch in batches:
             for part in parts(batch):
                 marks, asked = (_joined(part[c]) for c in ("marks", "asked"))
-                yield _result(part, marks, [None] * len(marks), digests, asked)
+                yield _result(part, marks, [None] * len(marks), digests, layout, asked)
 
     first = write_out(docs.join(told, "doc_id", "left").mapInArrow(settled, state), "repeats-settled")
-    open_rows = first.where("text is not null").select("doc_id", "text", "marks", F.col("kept_sha256" if digests else "kept").alias("asked"))
+    open_rows = first.where("text is not null").select("doc_id", "text", "marks", F.col(kept).alias("asked"), *[a.name for a in also])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = 0
@@ -302,16 +308,14 @@ def remove_repeats(docs: DataFrame, digests: bool = False) -> DataFrame:
                 yield _entries(buckets, _part_no(n), ids, one, two)
                 n += 1
 
-    told = _answers(open_rows.mapInArrow(windows, _ENTRIES), False, "repeat-windows")
-    last = f"doc_id long, n_words long, n_removed long, {kept}"
-
+    told = _answers(open_rows.select("doc_id", "text", "asked").mapInArrow(windows, _ENTRIES), False, "repeat-windows")
     def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in parts(batch):
-                own = _result(part, part["marks"].to_pylist(), _joined(part["windows"]), digests, None)
-                yield own.select(own.schema.names[:4])
+                own = _result(part, part["marks"].to_pylist(), _joined(part["windows"]), digests, layout, None)
+                yield own.select(own.schema.names[:-2])
 
-    rest = open_rows.join(told.select("doc_id", F.col("marks").alias("windows")), "doc_id", "left").drop("asked").mapInArrow(finished, last)
+    rest = open_rows.join(told.select("doc_id", F.col("marks").alias("windows")), "doc_id", "left").drop("asked").mapInArrow(finished, T.StructType([*last, *also]))
     return first.where("text is null").drop("text", "marks").unionByName(rest)
 
 
@@ -319,7 +323,9 @@ def _joined(column: pa.Array) -> list[bytes]:
     return [b"".join(x or []) for x in column.to_pylist()]
 
 
-def _result(part: pa.RecordBatch, marks: list[bytes], windows: list[bytes | None], digests: bool, asked: list[bytes] | None) -> pa.RecordBatch:
+def _result(
+    part: pa.RecordBatch, marks: list[bytes], windows: list[bytes | None], digests: bool, layout: bool, asked: list[bytes] | None
+) -> pa.RecordBatch:
     """Counts and kept words of each text; of one that is asked for windows, the text, its marks and (as ``kept``) the question."""
     words = Words(part["text"])
     gone = np.zeros(len(words.starts) + 1, np.int64)
@@ -349,7 +355,9 @@ def _result(part: pa.RecordBatch, marks: list[bytes], windows: list[bytes | None
         if asked is not None and asked[i]:
             row = (asked[i].hex(), part["text"][i].as_py(), marks[i])
         else:
-            if removed[i] == n:
+            if layout and not removed[i]:
+                kept = (part["text"][i].as_py() or "").encode()
+            elif removed[i] == n:
                 kept = b""
             elif removed[i]:
                 kept = b" ".join([flat[starts[k] : ends[k]] for k in (np.flatnonzero(~gone[a : a + n]) + a).tolist()])
@@ -359,5 +367,10 @@ def _result(part: pa.RecordBatch, marks: list[bytes], windows: list[bytes | None
         for column, value in zip(out, row, strict=True):
             column.append(value)
     arrays = [part["doc_id"], pa.array(words.counts, pa.int64()), pa.array(removed, pa.int64())]
-    arrays += [pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.binary())]
-    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "n_removed", "kept_sha256" if digests else "kept", "text", "marks"])
+    arrays.append(pa.array(out[0], pa.string()))
+    names = ["doc_id", "n_words", "n_removed", "kept_sha256" if digests else "kept"]
+    if "carried" in part.schema.names:
+        arrays.append(part["carried"])
+        names.append("carried")
+    arrays += [pa.array(out[1], pa.string()), pa.array(out[2], pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, [*names, "text", "marks"])
