@@ -87,11 +87,12 @@ def dedup(
 
 def _spelled_out(cut: DataFrame, clashing: DataFrame) -> DataFrame:
     """Recipes in which a chunk behind a clashing fingerprint carries its own text."""
-    at = cut.select(
+    numbered = cut.withColumn("row_no", F.monotonically_increasing_id())  # before the rows multiply
+    at = numbered.select(
         "doc_id",
         "points",
         F.sha2("norm", 256).alias("text_sha256"),
-        F.monotonically_increasing_id().alias("row_no"),
+        "row_no",
         F.posexplode_outer("chunk_list").alias("place", "chunk"),
     )
     at = write_out(at, "chunk-places")

@@ -146,11 +146,15 @@ def scan(docs: DataFrame, given: list[tuple[str, str]] = TEMPLATES) -> DataFrame
         found = F.filter(F.sequence(F.lit(0), last), lambda k: F.array_contains(wanted, least(k)))
         return F.transform(found, lambda k: F.struct(F.lit(size).alias("size"), k.alias("k")))
 
-    def in_band(band: Column) -> Column:
-        own = F.array(_band_values(F.col("h"), band))  # a list of one: evaluated once for all classes
-        return F.flatten(F.transform(own, lambda h: F.concat(*[in_class(h, band, size) for size in sorted({m[2] for m in made})])))
+    def in_band(h: Column, band: Column) -> Column:
+        own = F.array(_band_values(h, band))
+        return F.flatten(F.transform(own, lambda v: F.concat(*[in_class(v, band, size) for size in sorted({m[2] for m in made})])))
 
-    hits = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), in_band)))
+    def in_bands(h: Column) -> Column:
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda band: in_band(h, band)))
+
+    # a value under a lambda is evaluated for each call; as the variable of a list of one it is evaluated once
+    hits = F.array_distinct(F.flatten(F.transform(F.array("h"), in_bands)))
     per_band = hashed.select("doc_id", "words", hits.alias("hits"))
     window = lambda hit: F.struct(
         hit["size"].alias("size"),
