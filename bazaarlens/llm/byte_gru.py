@@ -3,8 +3,8 @@
 Two GRUs, one in each direction, read a text's bytes and together label every position with a probability for each
 language; a document's probabilities are the mean over its letter positions. Training is backpropagation through time
 in numpy, on the driver, over a bounded sample of labelled segments (``PER_LANG`` for each language, ``SPAN`` bytes
-each). Prediction reads every byte of every text in tasks: texts are cut into segments of ``SPAN`` bytes, and about a
-thousand segments take each step together. The network is a few thousand numbers and is sent with the task.
+each). Prediction reads every byte of every text in tasks: texts are cut into segments of ``SPAN`` bytes, and
+``TOGETHER`` segments take each step together. The network is a few thousand numbers and is sent with the task.
 """
 
 from __future__ import annotations
@@ -245,8 +245,11 @@ def _labelled(text: pa.Array, tagger: ByteTagger | None) -> tuple[list[str], np.
 def _has_letter(text: pa.Array, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Whether each text has a letter; only texts without an ASCII letter are looked at by character."""
     lowered = flat | 32
-    ascii_letters = np.r_[0, np.cumsum((lowered >= 97) & (lowered <= 122) & (flat < 128))]
-    found = ascii_letters[np.minimum(ends, len(flat))] > ascii_letters[np.minimum(starts, len(flat))]
+    ascii_letter = np.r_[(lowered >= 97) & (lowered <= 122) & (flat < 128), False]
+    full = np.flatnonzero(ends > starts)
+    found = np.zeros(len(starts), bool)
+    if len(full):  # every other part lies between two texts
+        found[full] = np.logical_or.reduceat(ascii_letter, np.column_stack([starts[full], ends[full]]).ravel())[::2]
     for i in np.flatnonzero(~found & (ends > starts)).tolist():
         found[i] = any(map(str.isalpha, text[i].as_py()))
     return found
