@@ -61,7 +61,7 @@ def read_back_csv(star: Star) -> DataFrame:
     return Star.from_csv(spark, csv_drop(star, "order_reviews")).table("stg_order_reviews")
 
 
-def loaded_namespace(star: Star, *tables: str) -> tuple[SparkSession, str, dict[str, int]]:
+def loaded_namespace(star: Star, *tables: str) -> tuple[SparkSession, str, dict[str, csv_files.Loaded]]:
     folder = csv_drop(star, *tables)
     spark = star.raw("orders").sparkSession
     namespace = f"raw_{uuid4().hex}"
@@ -70,7 +70,7 @@ def loaded_namespace(star: Star, *tables: str) -> tuple[SparkSession, str, dict[
 
 def raw_load(star: Star) -> DataFrame:
     spark, _, written = loaded_namespace(star)
-    return spark.createDataFrame(list(written.items()), "table_name string, rows_written bigint")
+    return spark.createDataFrame([(t, n.written) for t, n in written.items()], "table_name string, rows_written bigint")
 
 
 def namespace_tables(star: Star) -> DataFrame:

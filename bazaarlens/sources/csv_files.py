@@ -1,52 +1,125 @@
-"""CSV drops: distributed read with a declared schema, and the overwrite load into raw tables."""
+"""CSV drops: distributed read with declared types, and the overwrite load into raw tables.
+
+Nothing is lost or changed in silence: every file whose name fits a table is read, columns are bound by the names in
+each file's own header, and a row that doesn't fit its types is refused with its values, not turned into NULLs.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import NamedTuple
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaarlens.sources.catalog import ensure_namespace, write_table
 from bazaarlens.sources.schemas import FILE_ENDINGS, RAW_SCHEMAS
 
+BROKEN, REFUSED = "_broken_record", "_refused"
+
+
+class Loaded(NamedTuple):
+    written: int
+    refused: int
+
 
-def read_csv_table(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """One raw table; quoted commas, doubled quotes and line breaks inside text are kept.
+def find_csv_files(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Paths of all raw files present in ``folder``, by table; absent tables are reported and skipped.
 
-    ``multiLine`` makes a file the unit of parallelism, so it is on only for the table with free text: its drop
-    should come as many files. The others are split by block.
+    A file may be a folder of parts. Its name starts at a separator: "order_items_..." must not be taken for "items_...".
     """
-    return (
-        spark.read.schema(RAW_SCHEMAS[table])
-        .option("header", True)
-        .option("multiLine", table == "order_reviews")
-        .option("escape", '"')
-        .csv(path)
-    )
-
-
-def find_csv_files(spark: SparkSession, folder: str) -> dict[str, str]:
-    """Paths of the raw files present in ``folder``, by table; absent files are reported and skipped."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [status.getPath().getName() for status in fs.listStatus(root)]
     found = {}
     for table, ending in FILE_ENDINGS.items():
-        # the name starts at a separator: "order_items_..." must not be taken for "items_..."
-        matches = [n for n in names if n == ending or n.endswith("_" + ending)]
-        if matches:
-            found[table] = f"{folder.rstrip('/')}/{min(matches, key=len)}"
+        try:
+            # only lists; the text is not read here
+            paths = spark.read.text(f"{folder.rstrip('/')}/{{{ending},*_{ending}}}").inputFiles()
+        except AnalysisException as absent:
+            if absent.getCondition() != "PATH_NOT_FOUND":
+                raise
+            paths = []
+        if paths:
+            found[table] = sorted(paths)
         else:
             print(f"skip {table}: no file ending in {ending}")
     return found
 
 
+def _by_header(spark: SparkSession, table: str, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by the order of their columns; a file with other columns is refused as a whole."""
+    names = {f.name for f in T.StructType.fromDDL(RAW_SCHEMAS[table])}
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        header = tuple(c.strip() for c in spark.read.option("header", True).option("escape", '"').csv(path).columns)
+        if header and (set(header) != names or len(header) != len(names)):
+            raise ValueError(f"{path} has columns {list(header)}; {table} needs {sorted(names)}")
+        if header:
+            groups.setdefault(header, []).append(path)
+    return groups
+
+
+def _fits(text: Column, kind: T.DataType) -> Column:
+    """Whether a value has its type without being changed: no number that would become NULL or be rounded."""
+    if isinstance(kind, T.StringType):
+        return text.isNull() | (F.length(text) >= 0)  # always true, and has the column read: else a short row goes unseen
+    typed = text.try_cast(kind)
+    if isinstance(kind, T.DecimalType):
+        return text.isNull() | F.coalesce(typed == text.try_cast("decimal(38,18)"), F.lit(False))
+    return text.isNull() | typed.isNotNull()
+
+
+def checked_csv_table(spark: SparkSession, table: str, paths: list[str]) -> DataFrame:
+    """Rows of all files with their declared types, and what was refused of a row in ``_refused`` (NULL: nothing).
+
+    Quoted commas, doubled quotes and line breaks inside text are kept. ``multiLine`` makes a file the unit of
+    parallelism, so it is on only for the table with free text: its drop should come as many files. The others are split
+    by block.
+    """
+    schema = T.StructType.fromDDL(RAW_SCHEMAS[table])
+    read = None
+    for header, files in _by_header(spark, table, paths).items():
+        as_text = T.StructType([T.StructField(c, T.StringType()) for c in (*header, BROKEN)])
+        part = (
+            spark.read.schema(as_text)
+            .option("header", True)
+            .option("multiLine", table == "order_reviews")
+            .option("escape", '"')
+            .option("columnNameOfCorruptRecord", BROKEN)
+            .csv(files)
+        )
+        read = part if read is None else read.unionByName(part)
+    if read is None:
+        return spark.createDataFrame([], T.StructType([*schema, T.StructField(REFUSED, T.StringType())]))
+    misfits = [F.when(~_fits(F.col(f.name), f.dataType), F.concat(F.lit(f"{f.name}="), F.col(f.name))) for f in schema]
+    refused = F.coalesce(F.col(BROKEN), F.nullif(F.concat_ws("; ", *misfits), F.lit("")))
+    return read.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema], refused.alias(REFUSED))
+
+
+def read_csv_table(spark: SparkSession, table: str, paths: list[str]) -> DataFrame:
+    """One raw table; a row that would have to be refused ends the read with an error."""
+    checked = checked_csv_table(spark, table, paths)
+    fault = F.raise_error(F.concat(F.lit(f"{table}: row does not fit: "), F.col(REFUSED)))
+    return checked.where(F.when(F.col(REFUSED).isNull(), True).otherwise(fault.cast("boolean"))).drop(REFUSED)
+
+
 def read_csv_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {table: read_csv_table(spark, table, path) for table, path in find_csv_files(spark, folder).items()}
+    return {table: read_csv_table(spark, table, paths) for table, paths in find_csv_files(spark, folder).items()}
 
 
-def load_raw(spark: SparkSession, folder: str, namespace: str, location: str | None = None) -> dict[str, int]:
-    """Replace the raw tables by the files of ``folder``; returns rows written per table."""
+def load_raw(spark: SparkSession, folder: str, namespace: str, location: str | None = None) -> dict[str, Loaded]:
+    """Replace the raw tables by the files of ``folder``; rows written and refused per table.
+
+    Refused rows are kept in ``<table>_refused`` with the values that don't fit; the table is there only if it has rows.
+    """
     ensure_namespace(spark, namespace, location)
-    return {
-        table: write_table(df, f"{namespace}.{table}") for table, df in read_csv_folder(spark, folder).items()
-    }
+    loaded = {}
+    for table, paths in find_csv_files(spark, folder).items():
+        checked = checked_csv_table(spark, table, paths)
+        written = write_table(checked.where(F.col(REFUSED).isNull()).drop(REFUSED), f"{namespace}.{table}")
+        spark.sql(f"DROP TABLE IF EXISTS {namespace}.{table}_refused")
+        bad = checked.where(F.col(REFUSED).isNotNull())
+        refused = 0 if bad.isEmpty() else write_table(bad, f"{namespace}.{table}_refused")
+        if refused:
+            print(f"{table}: {refused} rows refused, kept in {namespace}.{table}_refused")
+        loaded[table] = Loaded(written, refused)
+    return loaded

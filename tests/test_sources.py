@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from bazaarlens.plans.star import MARTS, Star, build
@@ -30,10 +31,35 @@ def test_load_replaces_tables(spark, tmp_path):
     namespace, place = "raw_test", scratch_path(spark, "raw-test")
     for n in (3, 2):
         path.write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\n" + "".join(f"s{i},1,c,S\n" for i in range(n)))
-        assert csv_files.load_raw(spark, str(tmp_path), namespace, place) == {"sellers": n}
+        assert csv_files.load_raw(spark, str(tmp_path), namespace, place) == {"sellers": (n, 0)}
         assert catalog.scan(spark, namespace, "sellers").count() == n
 
 
+def test_every_file_is_read_and_columns_follow_their_header(spark, tmp_path):
+    (tmp_path / "2017_sellers_dataset.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\na,01037,x,SP\nb,2,y,RJ\n")
+    (tmp_path / "2018_sellers_dataset.csv").write_text("seller_state,seller_id,seller_city,seller_zip_code_prefix\nMG,c,z,3\n")
+    (tmp_path / "my_resellers_dataset.csv").write_text("no,table\n1,2\n")
+    found = csv_files.read_csv_folder(spark, str(tmp_path))
+    assert table(found["sellers"]) == [("a", "01037", "x", "SP"), ("b", "2", "y", "RJ"), ("c", "3", "z", "MG")]
+    (tmp_path / "2019_sellers_dataset.csv").write_text("seller_id,city\nd,x\n")
+    with pytest.raises(ValueError, match="2019"):
+        csv_files.read_csv_folder(spark, str(tmp_path))
+
+
+def test_rows_that_do_not_fit_are_kept_apart(spark, tmp_path):
+    head = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+    good = ["o1,1,p,s,2018-01-01 00:00:00,12.50,1\n", "o2,2,p,s,,,\n"]
+    bad = ["o3,1,p,s,,12x,1\n", "o4,abc,p,s,,1,1\n", "o5,1,p,s,,1.005,1\n", "o6,1,p\n"]
+    (tmp_path / "order_items_dataset.csv").write_text(head + "".join(good + bad))
+    loaded = csv_files.load_raw(spark, str(tmp_path), "raw_bad", scratch_path(spark, "raw-bad"))
+    assert loaded == {"order_items": (2, 4)}
+    assert table(spark.table("raw_bad.order_items"), "order_id") == [("o1",), ("o2",)]
+    refused = [r for (r,) in table(spark.table("raw_bad.order_items_refused"), "_refused")]
+    assert refused == ["o6,1,p", "order_item_id=abc", "price=1.005", "price=12x"]
+    with pytest.raises(Exception, match="row does not fit"):
+        csv_files.read_csv_folder(spark, str(tmp_path))["order_items"].collect()
+
+
 def test_build_and_catalog(spark):
     place = scratch_path(spark, "marts-test")
     catalog.ensure_namespace(spark, "marts_test", place)
