@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EXACT = "decimal(38,6)"
+PART = "decimal(26,6)"  # a part of this type over EXACT gives a quotient of 12 places
+QUOTIENT = "decimal(38,12)"
 
 
 def col(c: Column | str) -> Column:
@@ -19,12 +21,12 @@ def row_count() -> Column:
 
 def rounded(value: Column, places: int) -> Column:
     """Round half up on a decimal, so that a binary fraction never decides the last digit."""
-    return F.round(value.cast(EXACT), places)
+    return F.round(value.cast(QUOTIENT), places)
 
 
 def ratio(part: Column, whole: Column) -> Column:
-    """part / whole as a decimal, NULL when the whole is zero."""
-    return (part.cast(EXACT) / F.nullif(whole.cast(EXACT), F.lit(0).cast(EXACT))).cast(EXACT)
+    """part / whole to 12 places, so that it is rounded once, where it is shown; NULL when the whole is zero."""
+    return (part.cast(PART) / F.nullif(whole.cast(EXACT), F.lit(0).cast(EXACT))).cast(QUOTIENT)
 
 
 def percent(part: Column, whole: Column) -> Column:

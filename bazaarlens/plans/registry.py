@@ -180,7 +180,7 @@ def latest_address(star: Star) -> DataFrame:
 
 
 def month_changes(star: Star) -> DataFrame:
-    changed = pct_change(orders.monthly(star.table("fct_orders"), S), "month", "orders", "change_pct")
+    changed = pct_change(orders.monthly(in_window(star).table("fct_orders"), S), "month", "orders", "change_pct")
     return changed.select("month", "orders", rounded(c("change_pct"), 4).alias("change_pct"))
 
 
@@ -190,7 +190,7 @@ def category_share(star: Star) -> DataFrame:
 
 
 def window_category_money(star: Star) -> DataFrame:
-    return categories.category_revenue(star.table("fct_orders"), star.table("product_lines"), S)
+    return categories.category_revenue(in_window(star).table("fct_orders"), star.table("product_lines"), S)
 
 
 def thresholds(star: Star) -> DataFrame:
@@ -215,6 +215,18 @@ def composite_keys(star: Star) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def unaccepted(star: Star) -> DataFrame:
+    """Values outside the accepted lists with their rows, for each list."""
+    found = [
+        checks.check_accepted(star.table(model), name, values)
+        .groupBy(c(name).cast("string").alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(model).alias("model"), F.lit(name).alias("column"), "value", "n")
+        for model, name, values in checks.ACCEPTED
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def report(star: Star) -> DataFrame:
     # the intermediates that several checks read are written along with the marts
     return checks.dq_report(star.write_marts(also=("int_order_payments", "int_order_reviews")))
@@ -224,8 +236,13 @@ def orders_query(fn) -> Query:
     return lambda star: fn(star.table("fct_orders"))
 
 
+def in_window(star: Star) -> Star:
+    """The star of the analysis window, whose orders are pruned at the scan."""
+    return star.bought_between(S.window_start, S.window_end)
+
+
 def windowed_query(fn) -> Query:
-    return lambda star: fn(star.table("fct_orders"), S)
+    return lambda star: fn(in_window(star).table("fct_orders"), S)
 
 
 def base_query(fn) -> Query:
@@ -296,27 +313,27 @@ QUERIES: dict[str, Query] = {
         "customer_id", rounded(c("avg_ticket"), 4).alias("avg_ticket"), "quintile"
     ),
     "display_sample": lambda s: display_sample(
-        customers.customer_base_report(s.table("customer_base")), ["customer_id"], 6000
+        customers.customer_base_report(s.table("customer_base")), ["customer_id"], 600
     ),
     # orders
     "an_kpi": orders_query(orders.kpi),
     "an_on_time_pct": orders_query(orders.on_time_pct),
-    "an_coverage": windowed_query(orders.coverage),
+    "an_coverage": lambda s: orders.coverage(s.table("fct_orders"), S),
     "an_monthly": windowed_query(orders.monthly),
     "an_mom": windowed_query(orders.monthly_growth),
     "an_qoq": windowed_query(orders.quarterly_growth),
     "an_ontime_score": orders_query(orders.score_by_punctuality),
-    "an_ontime_score_window": lambda s: orders.score_by_punctuality(orders.in_window(s.table("fct_orders"), S)),
+    "an_ontime_score_window": lambda s: orders.score_by_punctuality(orders.in_window(in_window(s).table("fct_orders"), S)),
     "an_status": windowed_query(orders.status_mix),
     "an_payment_mix": windowed_query(orders.payment_mix),
     "an_score_dist": windowed_query(orders.score_mix),
-    "an_geo_top": lambda s: orders.top_states_in_window(placed(s), S),
+    "an_geo_top": lambda s: orders.top_states_in_window(placed(in_window(s)), S),
     "an_state_share": lambda s: orders.state_share(placed(s)),
-    "an_freight_quarter": lambda s: orders.freight_by_quarter(s.table("fct_orders"), s.table("order_lines"), S),
+    "an_freight_quarter": lambda s: orders.freight_by_quarter(in_window(s).table("fct_orders"), s.table("order_lines"), S),
     # delivery
     "an_delivery_profile": windowed_query(delivery.delivery_profile),
-    "an_delivery_hist": lambda s: hist(delivery.delivery_histogram(s.table("fct_orders"), S, "days")),
-    "an_early_hist": lambda s: hist(delivery.delivery_histogram(s.table("fct_orders"), S, "days_early")),
+    "an_delivery_hist": lambda s: hist(delivery.delivery_histogram(in_window(s).table("fct_orders"), S, "days")),
+    "an_early_hist": lambda s: hist(delivery.delivery_histogram(in_window(s).table("fct_orders"), S, "days_early")),
     "an_avg_early": windowed_query(delivery.avg_days_early),
     "an_state_buffer": lambda s: delivery.state_buffer(placed(s), S),
     "an_single_item": single,
@@ -375,12 +392,12 @@ QUERIES: dict[str, Query] = {
     "an_price_burden": lambda s: categories.price_burden(economics(s), S),
     "an_priority": lambda s: categories.priority_categories(s.table("product_lines"), S),
     # sellers
-    "an_seller_decile": lambda s: sellers.seller_deciles(s.table("fct_orders"), s.table("order_lines"), S),
+    "an_seller_decile": lambda s: sellers.seller_deciles(in_window(s).table("fct_orders"), s.table("order_lines"), S),
     "an_seller_speed": lambda s: sellers.seller_speed_report(
-        sellers.seller_speed(s.table("fct_orders"), s.table("order_lines"), S)
+        sellers.seller_speed(in_window(s).table("fct_orders"), s.table("order_lines"), S)
     ),
     "an_seller_speed_corr": lambda s: sellers.speed_score_corr(
-        sellers.seller_speed(s.table("fct_orders"), s.table("order_lines"), S)
+        sellers.seller_speed(in_window(s).table("fct_orders"), s.table("order_lines"), S)
     ),
     # figures named in the text
     "ex_return_gap": orders_query(customers.return_gap),
@@ -393,12 +410,10 @@ QUERIES: dict[str, Query] = {
     # data quality
     "dq_unique": lambda s: checks.check_unique(s.table("stg_order_reviews"), "review_id"),
     "dq_not_null": lambda s: checks.check_not_null(s.table("stg_products"), "weight_g").select("product_id", "weight_g"),
-    "dq_accepted": lambda s: checks.check_accepted(
-        s.table("stg_orders"), "status", ("delivered", "shipped", "canceled")
-    ).select("order_id", "status"),
+    "dq_accepted": unaccepted,
     "dq_relationship": lambda s: checks.check_relationship(
-        s.table("stg_customers"), "zip_code_prefix", s.table("dim_geolocation"), "zip_code_prefix"
-    ).select("customer_id", "zip_code_prefix"),
+        s.table("stg_order_reviews"), "order_id", s.table("stg_orders"), "order_id"
+    ).select("review_id", "order_id"),
     "dq_composite_key": composite_keys,
     "dq_item_values": lambda s: checks.check_rule(s.table("stg_order_items"), checks.item_values_wrong).select(
         "order_id", "order_item_id", "price", "freight_value"

@@ -41,13 +41,21 @@ class Star:
     """``star.table("fct_orders")`` gives a frame. Nothing runs until a frame is used, unless ``write_lookup`` or
     ``write_marts`` has put a table on disk."""
 
-    def __init__(self, raw: Callable[[str], DataFrame]):
+    def __init__(self, raw: Callable[[str], DataFrame], narrowed: Callable[[str, str], Star] | None = None):
         self._raw = raw
+        self._narrowed = narrowed
         self._tables: dict[str, DataFrame] = {}
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, sf_dir: str) -> Star:
-        return cls(raw_tables(spark, sf_dir))
+        return cls(raw_tables(spark, sf_dir), lambda start, end: cls(raw_tables(spark, sf_dir, (start, end))))
+
+    def bought_between(self, start: str, end: str) -> Star:
+        """A star whose source may leave out orders not bought from start until before end; all others are in it.
+
+        Only for questions that filter the order fact on this span themselves and read nothing of other orders.
+        """
+        return self._narrowed(start, end) if self._narrowed else self
 
     @classmethod
     def from_frames(cls, frames: Mapping[str, DataFrame]) -> Star:

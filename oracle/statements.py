@@ -7,7 +7,7 @@ from oracle.tables import with_tables
 
 
 def d(x: str, n: int) -> str:
-    return f"cast(round(cast({x} as decimal(38,6)), {n}) as double)"
+    return f"cast(round(cast({x} as decimal(38,8)), {n}) as double)"
 
 
 def pct(cond: str) -> str:
@@ -147,7 +147,7 @@ S |= {
     "win_qcut": f"select customer_id, {d('avg_ticket', 4)} as avg_ticket, cast(q as bigint) as quintile from customer_quintile",
     "display_sample": f"""select customer_id, cast(n_orders as bigint) as n_orders, cast(n_items as bigint) as n_items,
         cast(total_value as double) as total_value, {d('avg_ticket', 4)} as avg_ticket from customer_base
-        order by md5(concat(cast(customer_id as varchar), '|', '1')), customer_id limit 6000""",
+        order by md5(concat(cast(customer_id as varchar), '|', '1')), customer_id limit 600""",
     # orders
     "an_kpi": f"""select cast(count(*) as bigint) as orders, cast(count(distinct customer_id) as bigint) as customers,
         cast(round(sum(total_payment_value), 2) as double) as revenue, {d("sum(total_payment_value) / count(total_payment_value)", 4)} as aov,
@@ -331,18 +331,18 @@ S |= {
         "from economics, overall_freight", "from economics join overall_freight on true"
     ),
     "an_freight_rank": f"""select category_name, cast(items as bigint) as items, {d("freight_pct", 4)} as freight_pct,
-        cast(row_number() over (order by cast(economics.freight_pct as decimal(38,6)) desc, category_name) as bigint) as rank
+        cast(row_number() over (order by cast(economics.freight_pct as decimal(38,8)) desc, category_name) as bigint) as rank
         from economics where economics.items >= 300""",
     "an_freight_range": f"""select {d("min(freight_pct)", 4)} as min_pct,
-        first(category_name order by cast(freight_pct as decimal(38,6)), category_name) as min_category,
+        first(category_name order by cast(freight_pct as decimal(38,8)), category_name) as min_category,
         {d("max(freight_pct)", 4)} as max_pct,
-        first(category_name order by cast(freight_pct as decimal(38,6)) desc, category_name) as max_category
+        first(category_name order by cast(freight_pct as decimal(38,8)) desc, category_name) as max_category
         from economics where items >= 300""",
     "an_freight_driver": f"""select cast(count(*) as bigint) as items, {corr("p.weight_g", "i.freight_value")} as corr_weight_freight,
         {corr("p.length_cm * p.height_cm * p.width_cm / 1000.0", "i.freight_value")} as corr_volume_freight
         from fct_order_items i join dim_products p on i.product_id = p.product_id
         where p.weight_g is not null and i.price > 0 and i.freight_value between 0 and 2500 and p.weight_g < 12000""",
-    "an_price_burden": f"""select {corr("cast(avg_price as decimal(38,6))", "cast(freight_pct as decimal(38,6))")} as corr_price_freight
+    "an_price_burden": f"""select {corr("cast(avg_price as decimal(38,8))", "cast(freight_pct as decimal(38,8))")} as corr_price_freight
         from economics where items >= 300""",
     "an_priority": f"""select category_name, cast(revenue as double) as revenue, {d("rev_share_pct", 4)} as rev_share_pct,
         {d("freight_pct", 4)} as freight_pct, {d("avg_weight_g", 4)} as avg_weight_g from (
@@ -355,7 +355,7 @@ S |= {
         select revenue, ntile(10) over (order by revenue desc, seller_id) as decile from seller_window_money) group by decile""",
     "an_seller_speed": f"""select seller_id, cast(total_orders as bigint) as total_orders, {d("days", 4)} as avg_delivery_time_days,
         {d("score", 4)} as avg_review_score from seller_tempo""",
-    "an_seller_speed_corr": f"""select {corr("cast(days as decimal(38,6))", "cast(score as decimal(38,6))")} as corr_days_score from seller_tempo""",
+    "an_seller_speed_corr": f"""select {corr("cast(days as decimal(38,8))", "cast(score as decimal(38,8))")} as corr_days_score from seller_tempo""",
     # figures named in the text
     "ex_return_gap": """select cast(count(*) as bigint) as returning, cast(median(days) as double) as median_days from (
         select customer_id, date_diff('day', min(purchased_at), max(purchased_at)) as days from (
@@ -424,9 +424,15 @@ S |= {
     "dq_unique": """select review_id, cast(count(*) as bigint) as n from stg_order_reviews where review_id is not null
         group by review_id having count(*) > 1""",
     "dq_not_null": "select product_id, weight_g from stg_products where weight_g is null",
-    "dq_accepted": """select order_id, status from stg_orders where status not in ('delivered', 'shipped', 'canceled')""",
-    "dq_relationship": """select k.customer_id, k.zip_code_prefix from stg_customers k where k.zip_code_prefix is not null
-        and not exists (select 1 from dim_geolocation g where g.zip_code_prefix = k.zip_code_prefix)""",
+    "dq_accepted": """select model, "column", value, cast(count(*) as bigint) as n from (
+            select 'stg_orders' as model, 'status' as "column", status as value from stg_orders
+            union all select 'stg_order_payments', 'payment_type', payment_type from stg_order_payments
+            union all select 'stg_order_reviews', 'score', cast(score as varchar) from stg_order_reviews
+            union all select 'int_order_reviews', 'score', cast(score as varchar) from int_order_reviews)
+        where value not in ('delivered', 'shipped', 'canceled', 'unavailable', 'invoiced', 'processing', 'created', 'approved',
+            'credit_card', 'boleto', 'voucher', 'debit_card', 'not_defined', '1', '2', '3', '4', '5') group by all""",
+    "dq_relationship": """select review_id, order_id from stg_order_reviews r where order_id is not null
+        and not exists (select 1 from stg_orders o where o.order_id = r.order_id)""",
     "dq_composite_key": """select 'stg_order_items' as model, order_id, cast(order_item_id as bigint) as position,
             cast(count(*) as bigint) as n from stg_order_items group by order_id, order_item_id having count(*) > 1
         union all select 'stg_order_payments', order_id, cast(payment_sequential as bigint), cast(count(*) as bigint)

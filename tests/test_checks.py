@@ -16,6 +16,35 @@ def test_rules_do_not_fire_on_null(spark):
     assert dq.check_rule(items, dq.item_values_wrong).count() == 2
 
 
+def failing(spark, schema, violation, *rows):
+    """Places of the rows that a rule reports."""
+    df = frame(spark, f"at int, {schema}", *[(i, *row) for i, row in enumerate(rows)])
+    return sorted(r["at"] for r in dq.check_rule(df, violation).collect())
+
+
+def test_row_rules_report_violations_only(spark):
+    assert failing(spark, "payment_installments int", dq.installments_wrong, (0,), (1,), (None,), (-2,)) == [0, 3]
+    early = ("2018-01-02", "2018-01-01"), ("2018-01-01", "2018-01-01"), (None, "2018-01-01"), ("2018-01-01", "2018-01-02")
+    assert failing(spark, "purchased_at string, approved_at string", dq.approved_too_early, *early) == [0]
+    assert failing(spark, "created_at string, answered_at string", dq.answered_too_early, *early) == [0]
+    places = "delivered_to_carrier_at string, delivered_to_customer_at string"
+    assert failing(spark, places, dq.delivered_before_carrier, *early) == [0]
+    assert failing(spark, "has_payment_value_mismatch boolean", dq.payment_differs, (True,), (False,), (None,)) == [0]
+    assert failing(spark, "on_time_delivery_rate double", dq.rate_out_of_range, (-0.01,), (0.0,), (1.0,), (1.5,), (None,)) == [0, 3]
+    assert failing(spark, "avg_review_score double", dq.score_out_of_range, (0.9,), (1.0,), (5.0,), (5.1,), (None,)) == [0, 3]
+    assert failing(spark, "total_orders int", dq.no_orders, (0,), (1,), (-1,)) == [0, 2]
+    assert failing(spark, "total_spend double", dq.negative_spend, (-0.01,), (0.0,), (None,)) == [0]
+
+
+def test_rules_over_several_rows(spark):
+    paid = frame(spark, "order_id int, payment_sequential int", (1, 1), (1, 2), (2, 2), (3, 1), (3, 1))
+    assert table(dq.incomplete_sequences(paid)) == [(2, 2, 1), (3, 1, 2)]
+    reviews = frame(spark, "review_id int, order_id int", (1, 1), (2, 1), (3, 2), (3, 3), (4, 4), (4, 4))
+    assert table(dq.several_reviews(reviews)) == [(1, 2), (4, 2)]
+    assert table(dq.shared_review_ids(reviews)) == [(3, 2)]
+    assert table(dq.unpaid_orders(frame(spark, "order_id int", (1,), (9,), (None,)), paid)) == [(9,)]
+
+
 def test_every_column_check_is_configured():
     assert sum(map(len, dq.NOT_NULL.values())) == 96
     assert len(dq.UNIQUE) == 16 and len(dq.ACCEPTED) == 4 and len(dq.RELATIONSHIPS) == 10

@@ -1,4 +1,5 @@
 import math
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -48,6 +49,13 @@ def test_rounding_is_decimal(spark):
     assert [None if r.v is None else float(r.v) for r in df.collect()] == [1.01, 2.35, -2.35, None]
 
 
+def test_ratio_is_rounded_once(spark):
+    """29804886.80 / 573 is 52015.50924956...: cut to 6 places first it would end in 3."""
+    df = frame(spark, "a decimal(20,2), b int", (Decimal("29804886.80"), 573), (Decimal("-29804886.80"), 573), (Decimal("0.10"), 16))
+    got = [float(r.q) for r in df.select(fn.rounded(fn.ratio(c("a"), c("b")), 4).alias("q")).collect()]
+    assert got == [52015.5092, -52015.5092, 0.0063]
+
+
 def test_ratio_of_zero_is_null(spark):
     df = frame(spark, "a int, b int", (1, 4), (1, 0), (None, 2)).select(fn.percent(c("a"), c("b")).alias("p"))
     assert [None if r.p is None else float(r.p) for r in df.collect()] == [25.0, None, None]

@@ -69,3 +69,13 @@ def test_build_and_catalog(spark):
     counted = dict(table(catalog.catalog_counts(spark, "marts_test"), "mart", "rows"))
     assert counted == written and set(written) == set(MARTS)
     assert spark.table("stg_orders").count() == spark.table("marts_test.fct_orders").count()
+
+
+def test_window_reaches_the_scan_of_orders(spark):
+    """Windowed questions push bounds on the order date into the scan."""
+    from bazaarlens.plans import registry
+
+    for name in ("an_monthly", "an_category_rev"):
+        plan = registry.run(name, spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+        pushed = [line for line in plan.splitlines() if "PushedFilters" in line and "o_orderdate" in line]
+        assert any("GreaterThan(o_orderdate" in line and "LessThan(o_orderdate" in line for line in pushed), name
