@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarlens.llm import bottom_k, byte_gru, chat_turns, chunk_recipes, flat_graph, license_bands, pattern_packing, recompression, word_transducer, zip_warc
+from bazaarlens.llm import bottom_k, byte_gru, chat_turns, chunk_recipes, flat_graph, license_bands, lookup_clusters, norm_buckets, pattern_packing, recompression, residue_scores, word_transducer, zip_warc
 from bazaarlens.llm.shipping import ship
 
 
@@ -74,6 +74,18 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pattern_packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_buckets.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op12_lookup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup_clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_residue_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue_scores.mine(residue_scores.relabelled(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_word_transducer": op1_word_transducer,
     "op2_recompression": op2_recompression,
@@ -85,6 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_turns": op8_chat_turns,
     "op9_zip_warc": op9_zip_warc,
     "op10_pattern_packing": op10_pattern_packing,
+    "op11_norm_buckets": op11_norm_buckets,
+    "op12_lookup_clusters": op12_lookup_clusters,
+    "op13_residue_scores": op13_residue_scores,
 }
 
 #: SQL can't express the others; tests hold them against brute force.
@@ -93,4 +108,7 @@ ORACLES = {
     "op7_license_bands": license_bands.oracle(),
     "op8_chat_turns": chat_turns.ORACLE,
     "op9_zip_warc": zip_warc.ORACLE,
+    "op11_norm_buckets": norm_buckets.ORACLE,
+    "op12_lookup_clusters": lookup_clusters.ORACLE,
+    "op13_residue_scores": residue_scores.ORACLE,
 }
