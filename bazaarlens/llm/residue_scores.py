@@ -209,7 +209,7 @@ WITH rows AS (
     SELECT a, anchor_id, b, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
     QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, b) <= 5
 ), within AS (
-    SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, score AS negative_score,
+    SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, score AS negative_score,
            row_number() OVER (PARTITION BY p.a, p.b ORDER BY score DESC, s.vec_id)::INTEGER AS rank
     FROM positives p JOIN scored s ON p.a = s.a AND NOT same
         AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
