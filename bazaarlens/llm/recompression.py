@@ -36,7 +36,6 @@ from bazaarlens.session import prefer_skew_handling, write_out
 
 WINDOW = 13
 ROUNDS = 2  # the most after which a window of 13 different words must hold a symbol's reach
-_BASES = (U(0xD1342543DE82EF95), U(0xAF251AF3B0F025B5))
 
 
 class Symbols:
@@ -73,21 +72,22 @@ class Symbols:
         self.end, self.high = end[to][keep], high[to][keep]
 
 
-class Sums:
-    """Fingerprints of any stretch of words, from running sums."""
+class Stretches:
+    """Fingerprints of stretches of words: of 1, 2, 4, ... words by combining halves, of others by two that cover them."""
 
-    def __init__(self, numbers: np.ndarray, base: np.uint64):
-        inverse = U(pow(int(base), -1, 1 << 64))
-        steps = np.full(len(numbers) + 1, base, U)
-        steps[0] = 1
-        self.down = np.full(len(numbers) + 1, inverse, U)
-        self.down[0] = 1
-        np.cumprod(self.down, out=self.down)
-        self.sums = np.zeros(len(numbers) + 1, U)
-        np.cumsum(numbers * np.cumprod(steps)[:-1], out=self.sums[1:])
+    def __init__(self, numbers: np.ndarray):
+        self.numbers = numbers
 
     def of(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        return mix((self.sums[high] - self.sums[low]) * self.down[low] + (high - low).astype(U) * U(0x9E3779B97F4A7C15))
+        size, out = high - low, np.zeros(len(low), U)
+        names, width, longest = self.numbers, 1, int(size.max(initial=0))
+        while width <= longest:
+            own = np.flatnonzero((size >= width) & (size < 2 * width))
+            covers = combine(names[low[own]], names[high[own] - width])
+            out[own] = combine(covers, size[own].astype(U))
+            names = combine(names[:-width], names[width:])
+            width *= 2
+        return out
 
 
 class Spans:
@@ -101,7 +101,7 @@ class Spans:
         symbols = Symbols(numbers, owner)
         for k in range(ROUNDS):
             symbols.round(0x5851F42D4C957F2D * (k + 1) % (1 << 64))
-        self.first_sums, self.second_sums = Sums(numbers, _BASES[0]), Sums(numbers, _BASES[1])
+        self.first, self.second = Stretches(numbers), Stretches(words.numbers(seed=2))
         anchor = self._anchors(symbols, at)
         cut = np.r_[True, (anchor[1:] != anchor[:-1]) | (anchor[1:] < 0) | (owner[at[1:]] != owner[at[:-1]])][: len(at)]
         begin = np.flatnonzero(cut)
@@ -110,8 +110,8 @@ class Spans:
         of = anchor[begin]
         low = np.where(of >= 0, symbols.low[of] if len(symbols.low) else 0, self.begin)
         high = np.where(of >= 0, symbols.high[of] if len(symbols.high) else 0, self.begin + WINDOW)
-        self.reach = self.first_sums.of(low, high)
-        self.span = self.second_sums.of(self.begin, self.end + WINDOW - 1)
+        self.reach = self.first.of(low, high)
+        self.span = self.second.of(self.begin, self.end + WINDOW - 1)
         self.owner = owner[self.begin]
         self.mark = combine(self.reach, self.span)
 
@@ -140,7 +140,7 @@ class Spans:
         """Begin and both fingerprints of each window of the given spans."""
         size = self.end[spans] - self.begin[spans]
         at = np.repeat(self.begin[spans] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        return at, self.first_sums.of(at, at + WINDOW), self.second_sums.of(at, at + WINDOW)
+        return at, self.first.of(at, at + WINDOW), self.second.of(at, at + WINDOW)
 
 
 def _member(owner: np.ndarray, mark: np.ndarray, told: list[bytes | None]) -> np.ndarray:

@@ -1,7 +1,7 @@
 """Words of texts as numbers, for whole Arrow batches at once.
 
-A word is ``[^\\x20\\x09-\\x0D]+``. Its number is a 64-bit polynomial of its bytes, each replaced by a random number
-first, and mixed at the end; sums along a batch give all words' numbers without a loop. Two seeds give 128 bits.
+A word is ``[^\\x20\\x09-\\x0D]+``. Its number is the sum of its bytes' numbers, and a byte's number mixes what the byte
+is with its place in the word: no pattern of bytes cancels out, however long the word. Two seeds give 128 bits.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-_BASE = U(0x9E3779B97F4A7C15 | 1)
 _PART = 1 << 20  # bytes hashed together
 
 
@@ -36,20 +35,6 @@ def _tables(seed: int) -> np.ndarray:
         return mix(np.arange(1, 257, dtype=U) * U(0xC2B2AE3D27D4EB4F) + U(seed))
 
 
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    if len(_powers.get("up", ())) < n:
-        inverse = U(pow(int(_BASE), -1, 1 << 64))
-        for name, base in (("up", _BASE), ("down", inverse)):
-            steps = np.full(n, base, U)
-            steps[0] = 1
-            _powers[name] = np.cumprod(steps, dtype=U)
-    return _powers["up"][:n], _powers["down"][:n]
-
-
 class Words:
     """All words of a batch of texts: where each begins and ends in the bytes, and how many each text has."""
 
@@ -83,19 +68,18 @@ class Words:
         if lower:
             table = table.copy()
             table[65:91] = table[97:123]
-        out = np.empty(len(self.starts), U)
-        at = 0
-        while at < len(self.starts):
-            low = self.starts[at]
-            upto = max(at + 1, int(np.searchsorted(self.ends, low + _PART, "right")))
-            high = self.ends[upto - 1]
-            up, down = _power(max(_PART, int(high - low)))
-            sums = np.empty(high - low + 1, U)
-            sums[0] = 0
-            np.cumsum(table[self.flat[low:high]] * up[: high - low], out=sums[1:])
-            begin = self.starts[at:upto] - low
-            out[at:upto] = (sums[self.ends[at:upto] - low] - sums[begin]) * down[begin]
-            at = upto
+        out = np.zeros(len(self.starts), U)
+        for low in range(0, len(self.flat), _PART):  # a word may go on in the next part
+            high = min(low + _PART, len(self.flat))
+            own = slice(int(np.searchsorted(self.ends, low, "right")), int(np.searchsorted(self.starts, high, "left")))
+            begin, end = np.maximum(self.starts[own], low), np.minimum(self.ends[own], high)
+            if not len(begin):
+                continue
+            size = end - begin
+            first = np.cumsum(size) - size
+            at = np.arange(int(size.sum())) + np.repeat(begin - first, size)
+            place = (at - np.repeat(self.starts[own], size) + 1).astype(U)
+            out[own] += np.add.reduceat(mix(table[self.flat[at]] ^ (place * U(0x9E3779B97F4A7C15))), first)
         length = (self.ends - self.starts).astype(U)
         return mix(out + length * U(0x9E3779B97F4A7C15))
 
