@@ -16,6 +16,7 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from pathlib import Path
 from uuid import uuid4
 
@@ -30,6 +31,7 @@ from bazaarlens.session import write_out
 # fixed value: white space of the pre-tokenizer's pattern (Unicode White_Space)
 SPACE = "\t-\r \x85\xa0  -     　"
 MEMO = 250_000  # remembered words of a Python worker; a full memo is emptied
+LONG = 256  # bytes from which on a word is merged by itself, in n log n steps
 
 
 def minimal_automaton(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -122,6 +124,8 @@ class Transducer:
         flat, begin = np.frombuffer(b"".join(words) or b"\0", np.uint8), np.cumsum(length) - length
         going = np.flatnonzero(length > 0)
         for step in range(int(length.max(initial=0))):
+            if not len(going):
+                break
             key = state[going] << 8 | flat[begin[going] + step]
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             found = self.keys[at] == key
@@ -161,6 +165,7 @@ class WordBpe:
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], order.astype(np.int64)
         self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
+        self._rank_of: dict[int, int] | None = None
 
     def pieces(self, text: str) -> list[str]:
         """Parts between white space; no pre-token contains any."""
@@ -176,6 +181,44 @@ class WordBpe:
 
     def merge(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of words by their merges: in every round each word merges its first pair of the lowest rank."""
+        long = [i for i, w in enumerate(words) if len(w) >= LONG]
+        if long:
+            out = self._merge_short([w if len(w) < LONG else b"a" for w in words])
+            for i in long:
+                out[i] = self._merge_long(words[i])
+            return out
+        return self._merge_short(words)
+
+    def _merge_long(self, word: bytes) -> tuple[int, ...]:
+        """Ids of one word: a heap of its pairs by rank and place, over a linked list of its symbols."""
+        if self._rank_of is None:
+            self._rank_of = dict(zip(self.pair_keys.tolist(), self.pair_ranks.tolist(), strict=True))
+        rank_of, merged = self._rank_of, self.merged.tolist()
+        ids = self.first[np.frombuffer(word, np.uint8)].tolist()
+        ids[-1] = int(self.closed[word[-1]])
+        n = len(ids)
+        after, before = [*range(1, n), -1], list(range(-1, n - 1))
+        heap = [(rank, i) for i in range(n - 1) if (rank := rank_of.get(ids[i] << 32 | ids[i + 1])) is not None]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            # an entry is out of date if the pair that stands there is another one by now
+            if ids[i] < 0 or j < 0 or rank_of.get(ids[i] << 32 | ids[j]) != rank:
+                continue
+            ids[i], ids[j] = merged[rank], -1
+            k = after[i] = after[j]
+            if k >= 0:
+                before[k] = i
+                if (new := rank_of.get(ids[i] << 32 | ids[k])) is not None:
+                    heappush(heap, (new, i))
+            h = before[i]
+            if h >= 0 and (new := rank_of.get(ids[h] << 32 | ids[i])) is not None:
+                heappush(heap, (new, h))
+        return tuple([i for i in ids if i >= 0])
+
+    def _merge_short(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """The same for many words at once."""
         if not words:
             return []
         length = np.array([len(w) for w in words], np.int64)

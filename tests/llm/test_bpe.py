@@ -66,3 +66,16 @@ def test_hard_rows(spark, texts, no_texts, made):
     decoded = sorted((r.doc_id or -1, r.text) for r in W.decode(encoded, text).collect())
     assert decoded == sorted((d, library.decode(i, skip_special_tokens=False)) for d, i in expected)
     assert W.encode(no_texts, text, W.lexicon_file(no_texts, text, 10)).collect() == []
+
+
+def test_long_words_merge_as_short_ones_and_as_the_library(made):
+    bpe, library = made
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("etaoinshrdlu"), n)).encode() for n in (1, 2, 255, 256, 257, 900, 3000)]
+    words += [b"a" * 700, "éß中".encode() * 100, b"ing" * 300]
+    assert [bpe._merge_long(w) for w in words] == bpe._merge_short(words)
+    assert bpe.merge(words) == bpe._merge_short(words)
+    text = "".join(rng.choice(list("etaoinshrdlu"), 1_000_000))
+    (ids,) = bpe.merge([text.encode()])
+    assert list(ids) == library.encode(text, add_special_tokens=False).ids
+    assert W.Transducer.compiled({b"ab": (1,)}).ranks([text.encode(), b"ab"]).tolist() == [-1, 0]
