@@ -24,6 +24,9 @@ from bazaarlens.session import write_out
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task int, nth long"
 MEMO = 400_000  # remembered words of a Python worker; a full memo is emptied
+# fixed value: white space of the pattern below (Unicode White_Space)
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG = 1000  # a longer run of white space is cut without the pattern, which goes back over a run character by character
 
 
 def byte_level_encoding(tokenizer_json: str):
@@ -45,7 +48,8 @@ class WordCoder:
     """Ids of a text as little-endian unsigned 32-bit bytes; words seen before are looked up.
 
     A single space between two other characters always begins a new pre-token, so the text is cut there. A text with a
-    special string, or with a space next to other white space, is cut more carefully.
+    special string, or with a space next to other white space, is cut more carefully. Of a long run of white space all
+    but the last character are one pre-token, and all of them at the end of a text.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -54,8 +58,27 @@ class WordCoder:
         self.memo: dict[str, bytes] = {}
         self.near_space = re.compile(r"^ | $|\s | \s")
         self.lone_space = re.compile(r"(?<=\S) (?=\S)")
+        self.long_space = re.compile(f"[{SPACE}]{{{LONG},}}")
+        self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
     def encode(self, text: str) -> bytes:
+        if len(text) >= LONG and self.long_space.search(text):
+            parts = self.cut_special.split(text) if self.cut_special else [text]
+            return b"".join([self._exactly(p) if i % 2 else self._long_runs(p) for i, p in enumerate(parts)])
+        return self._cut(text)
+
+    def _long_runs(self, text: str) -> bytes:
+        """Ids of a text without special strings."""
+        out, at = [], 0
+        for run in self.long_space.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            out += [self._cut(text[at : run.start()]), self._bytes(self.bpe._encode_single_piece(text[run.start() : end]))]
+            at = end
+        return b"".join([*out, self._cut(text[at:])])
+
+    def _cut(self, text: str) -> bytes:
+        if not text:
+            return b""
         if any(s in text for s in self.special):
             return self._exactly(text)
         parts = (self.lone_space.split if self.near_space.search(text) else lambda t: t.split(" "))(text)
@@ -71,7 +94,11 @@ class WordCoder:
         return b"".join(out)
 
     def _exactly(self, text: str) -> bytes:
-        return b"".join([i.to_bytes(4, "little") for i in self.bpe.encode(text, allowed_special="all")])
+        return self._bytes(self.bpe.encode(text, allowed_special="all"))
+
+    @staticmethod
+    def _bytes(ids: list[int]) -> bytes:
+        return b"".join([i.to_bytes(4, "little") for i in ids])
 
 
 _coders: dict[int, WordCoder] = {}

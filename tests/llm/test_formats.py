@@ -167,3 +167,18 @@ def test_packing_hard_rows(spark, texts, no_texts):
     text = vocabulary("byte_bpe_50k.json")
     packed_well(pattern_packing.pack(texts, text).collect(), [(r.doc_id, r.text) for r in texts.collect()])
     assert pattern_packing.pack(no_texts, text).collect() == []
+
+
+def test_long_runs_of_white_space_are_coded_as_the_library_does():
+    text = vocabulary("byte_bpe_50k.json")
+    coder, library = pattern_packing.WordCoder(text), Tokenizer.from_str(text)
+    cases = [
+        " " * 2_000_000,
+        "\n" * 2_000_000 + "x",
+        "a b" + " " * 1500 + "the <|endoftext|>" + "\t" * 1200 + "<|endoftext|> " + " " * 1100 + "q 's" + " " * 999 + "z" + "\n" * 1000 + " " * 1000,
+        " " * 1200 + "'s it " + "\r\n" * 700 + "12",
+        "x" + "\x1c" * 1500 + " y" + "　" * 1001 + "z",
+        "x" * 1_000_000,
+    ]
+    for case in cases:
+        assert np.frombuffer(coder.encode(case), "<u4").tolist() == library.encode(case, add_special_tokens=False).ids
