@@ -3,8 +3,10 @@
 Two GRUs, one in each direction, read a text's bytes and together label every position with a probability for each
 language; a document's probabilities are the mean over its letter positions. Training is backpropagation through time
 in numpy, on the driver, over a bounded sample of labelled segments (``PER_LANG`` for each language, ``SPAN`` bytes
-each). Prediction reads every byte of every text in tasks: texts are cut into segments of ``SPAN`` bytes, and
-``TOGETHER`` segments take each step together. The network is a few thousand numbers and is sent with the task.
+each), for ``STEPS`` steps however small the sample is. Prediction reads every byte of every text in tasks: texts are cut
+into segments of ``SPAN`` bytes, and ``TOGETHER`` segments take each step together. Behind the end of a segment the states
+are held at zero, and fewer segments are filled up with empty ones, so that a text's label and score do not depend on the
+texts beside it. The network is a few thousand numbers and is sent with the task.
 """
 
 from __future__ import annotations
@@ -20,7 +22,9 @@ UNKNOWN = "und"
 SPAN = 128  # bytes of a segment
 PER_LANG = 512  # labelled segments learned from, for each language
 HIDDEN = 8  # units for each direction
-TOGETHER = 1024  # segments that take a step together
+TOGETHER = 1024  # segments that take a step together; always so many, so that sums round alike in every batch
+STEPS = 200  # training steps
+PLACES = 8  # most segments of one document in the sample
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True  # ASCII letters and all parts of longer characters
@@ -34,14 +38,14 @@ class Gru:
         self.table = rng.normal(0, 0.3, (256, 3 * h)).astype(np.float32)
         self.inner = rng.normal(0, 0.5 / np.sqrt(h), (h, 3 * h)).astype(np.float32)
 
-    def forward(self, x: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """States (t, h, n) for bytes (t, n); ``keep`` gets what the backward pass needs."""
-        h, inner = self.h, np.ascontiguousarray(self.inner.T)
+    def forward(self, x: np.ndarray, inside: np.ndarray, keep: list | None = None) -> np.ndarray:
+        """States (t, h, n) for bytes (t, n), zero where a byte is not ``inside``; ``keep`` gets what the backward pass needs."""
+        h = self.h
         state = np.zeros((h, x.shape[1]), np.float32)
         out = np.empty((len(x), h, x.shape[1]), np.float32)
         for t, bytes_now in enumerate(x):
             given = self.table[bytes_now].T
-            own = inner @ state
+            own = np.einsum("hk,hn->kn", self.inner, state)  # not a library product, which rounds by the place of a column
             gates = given[: 2 * h] + own[: 2 * h]
             gates *= 0.5
             np.tanh(gates, out=gates)
@@ -55,10 +59,11 @@ class Gru:
             state = state - new
             state *= gates[:h]
             state += new
+            state *= inside[t]
             out[t] = state
         return out
 
-    def backward(self, x: np.ndarray, keep: list, d_out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def backward(self, x: np.ndarray, inside: np.ndarray, keep: list, d_out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Gradients of the table and of the recurrent weights, from those of the states."""
         h = self.h
         d_inner, d_given = np.zeros_like(self.inner), np.empty((len(x), 3 * h, x.shape[1]), np.float32)
@@ -66,7 +71,7 @@ class Gru:
         for t in range(len(x) - 1, -1, -1):
             before, gates, new, own = keep[t]
             z, r = gates[:h], gates[h:]
-            d_state = d_state + d_out[t]
+            d_state = (d_state + d_out[t]) * inside[t]
             d_new = d_state * (1 - z) * (1 - new * new)
             d_z = d_state * (before - new) * z * (1 - z)
             d_r = d_new * own * r * (1 - r)
@@ -89,30 +94,33 @@ class ByteTagger:
         self.out = rng.normal(0, 0.3, (2, len(langs), h)).astype(np.float32)
         self.bias = np.zeros((len(langs), 1), np.float32)
 
-    def probabilities(self, x: np.ndarray, keep: tuple[list, list] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Label probabilities (t, langs, n) of every position, and the states of both directions."""
-        a = self.ahead.forward(x, keep and keep[0])
-        b = self.back.forward(x[::-1], keep and keep[1])[::-1]
-        p = self.out[0] @ a
-        p += self.out[1] @ b
+    def probabilities(
+        self, x: np.ndarray, size: np.ndarray, keep: tuple[list, list] | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Label probabilities (t, langs, n) of every position of segments of these sizes, and the states of both directions."""
+        inside = (np.arange(len(x))[:, None] < size).astype(np.float32)
+        a = self.ahead.forward(x, inside, keep and keep[0])
+        b = self.back.forward(x[::-1], inside[::-1], keep and keep[1])[::-1]
+        p = np.einsum("ch,thn->tcn", self.out[0], a)
+        p += np.einsum("ch,thn->tcn", self.out[1], b)
         p += self.bias
         p -= p.max(1, keepdims=True)
         np.exp(p, out=p)
         p /= p.sum(1, keepdims=True)
         return p, a, b
 
-    def train(self, segments: np.ndarray, labels: np.ndarray, rounds: int = 10, batch: int = 128, rate: float = 0.02) -> None:
-        """Adam on the mean cross-entropy of letter positions; segments (n, t) are padded with byte 0."""
+    def train(self, segments: np.ndarray, sizes: np.ndarray, labels: np.ndarray, steps: int = STEPS, batch: int = 128, rate: float = 0.02) -> None:
+        """Adam on the mean cross-entropy of letter positions; segments (n, t) hold ``sizes`` bytes each."""
         rng = np.random.default_rng(2)
         params = [self.ahead.table, self.ahead.inner, self.back.table, self.back.inner, self.out, self.bias]
         first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         step = 0
-        for _ in range(rounds):
+        while step < steps:
             order = rng.permutation(len(segments))
             for at in range(0, len(order), batch):
                 own = order[at : at + batch]
                 step += 1
-                gradients = self._gradients(np.ascontiguousarray(segments[own].T), labels[own])
+                gradients = self._gradients(np.ascontiguousarray(segments[own].T), sizes[own], labels[own])
                 norm = np.sqrt(sum(float((g * g).sum()) for g in gradients))
                 for p, g, m, v in zip(params, gradients, first, second, strict=True):
                     g = g / max(1.0, norm)
@@ -120,16 +128,18 @@ class ByteTagger:
                     v += 0.01 * (g * g - v)
                     p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
 
-    def _gradients(self, x: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
+    def _gradients(self, x: np.ndarray, size: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
         keep: tuple[list, list] = ([], [])
-        d, a, b = self.probabilities(x, keep)
+        d, a, b = self.probabilities(x, size, keep)
         d[:, labels, np.arange(x.shape[1])] -= 1
-        letter = _LETTER[x]
+        inside = np.arange(len(x))[:, None] < size
+        letter = _LETTER[x] & inside
         d *= (letter / max(1, letter.sum()))[:, None, :]
         d = d.astype(np.float32)
         d_out = np.stack([np.einsum("tcn,thn->ch", d, a), np.einsum("tcn,thn->ch", d, b)])
-        table_a, inner_a = self.ahead.backward(x, keep[0], self.out[0].T @ d)
-        table_b, inner_b = self.back.backward(x[::-1], keep[1], (self.out[1].T @ d)[::-1])
+        inside = inside.astype(np.float32)
+        table_a, inner_a = self.ahead.backward(x, inside, keep[0], self.out[0].T @ d)
+        table_b, inner_b = self.back.backward(x[::-1], inside[::-1], keep[1], (self.out[1].T @ d)[::-1])
         return [table_a, inner_a, table_b, inner_b, d_out, d.sum((0, 2))[:, None]]
 
     def pooled(self, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -143,13 +153,21 @@ class ByteTagger:
         order = np.argsort(-size, kind="stable")  # short last segments together
         for at in range(0, len(order), TOGETHER):
             own = order[at : at + TOGETHER]
-            t = np.arange(size[own].max())[:, None]
-            inside = t < size[own]
-            x = np.where(inside, flat[np.minimum(begin[own] + t, len(flat) - 1)], 0)
+            n = len(own)
+            held = np.zeros(TOGETHER, np.int64)
+            held[:n] = size[own]
+            t = np.arange(held.max())[:, None]
+            inside = t < held
+            where = np.zeros(TOGETHER, np.int64)
+            where[:n] = begin[own]
+            x = np.where(inside, flat[np.minimum(where + t, len(flat) - 1)], 0)
             letter = _LETTER[x].astype(np.float32)
-            p, _, _ = self.probabilities(x)
-            summed = np.einsum("tcn,tn->nc", p, letter)
-            np.add.at(total, owner[own], np.concatenate([summed, letter.sum(0)[:, None]], 1))
+            p, _, _ = self.probabilities(x, held)
+            p *= letter[:, None, :]
+            summed = np.zeros((len(self.langs), TOGETHER))
+            for now in p:
+                summed += now
+            np.add.at(total, owner[own], np.concatenate([summed.T[:n], letter.sum(0)[:n, None]], 1))
         return total
 
 
@@ -160,15 +178,28 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame) -> ByteTagger | None:
     """A tagger from at most ``PER_LANG`` labelled segments per language outside the held-out quarter.
 
-    The sample takes documents in the order of a hash of their id, and one segment at a place the hash says. Without a
-    labelled text there is nothing to learn and the result is None.
+    The sample takes segments of documents in the order of a hash of their id, at places the hash says; where a language
+    has few documents, up to ``PLACES`` of each. Of a language with many, only those below a bound of the hash are looked
+    at, which leaves about four times as many as are needed, so that no task sorts a language. Without a labelled text,
+    or without a column ``lang``, there is nothing to learn and the result is None.
     """
-    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
+    if "lang" not in docs.columns:
+        return None
+    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each label
+    if not counts:
+        return None
+    bounds = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 4 * PER_LANG / n))])
+    places = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(PLACES, -(-PER_LANG // n)))])
     place = F.xxhash64("doc_id", F.lit("sample"))
+    few = known.where(F.pmod(place, F.lit(1 << 30)) < F.element_at(bounds, F.col("lang")) * (1 << 30)).where(F.col("text").rlike(r"\p{L}"))
+    each = few.select("lang", "doc_id", "text", F.explode(F.sequence(F.lit(1), F.element_at(places, F.col("lang")))).alias("k"))
+    place = F.xxhash64("doc_id", F.lit("sample"), "k")
     cut = F.pmod(place, F.greatest(F.length("text") - SPAN, F.lit(1)).cast("long")) + 1
+    order = Window.partitionBy("lang").orderBy("k", "place", "doc_id", "part")
     sample = (
-        known.select("lang", "doc_id", place.alias("place"), F.substr("text", cut.cast("int"), F.lit(SPAN)).alias("part"))
-        .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id")))
+        each.select("lang", "doc_id", "k", place.alias("place"), F.substr("text", cut.cast("int"), F.lit(SPAN)).alias("part"))
+        .withColumn("n", F.row_number().over(order))
         .where(F.col("n") <= PER_LANG)
         .select("lang", "part", "n")
         .collect()
@@ -177,12 +208,12 @@ def fit(docs: DataFrame) -> ByteTagger | None:
     langs = sorted({r["lang"] for r in sample})
     if not langs:
         return None
-    segments = np.zeros((len(sample), SPAN), np.uint8)
+    segments, sizes = np.zeros((len(sample), SPAN), np.uint8), np.zeros(len(sample), np.int64)
     for i, r in enumerate(sample):
         raw = np.frombuffer(r["part"].encode()[:SPAN], np.uint8)
-        segments[i, : len(raw)] = raw
+        segments[i, : len(raw)], sizes[i] = raw, len(raw)
     tagger = ByteTagger(langs)
-    tagger.train(segments, np.array([langs.index(r["lang"]) for r in sample]))
+    tagger.train(segments, sizes, np.array([langs.index(r["lang"]) for r in sample]))
     return tagger
 
 
@@ -206,23 +237,30 @@ def predict(docs: DataFrame, tagger: ByteTagger | None) -> DataFrame:
     return marked.mapInArrow(tagged, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, tagger: ByteTagger | None) -> DataFrame:
-    """The rows, unchanged, whose text gets a language; a text that is NULL or has no letter is rejected.
+def accepted(docs: DataFrame, tagger: ByteTagger | None, languages: set[str] | None = None, least: float = 0.0) -> DataFrame:
+    """The rows whose text gets a language, among ``languages`` if given, with a score of ``least`` or more.
 
-    If nothing was learned, nothing is rejected but those.
+    A text that is NULL or has no letter is rejected. Where there is a string column ``lang``, a row that has none gets the
+    predicted one; nothing else changes. If nothing was learned, nothing is rejected but texts without a letter, and
+    ``lang`` stays as it is.
     """
+    at = docs.columns.index("lang") if tagger and dict(docs.dtypes).get("lang") == "string" else None
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                langs, _ = _labelled(batch["text"], tagger or ByteTagger([""]))
-                yield batch.filter(pa.array([lang != UNKNOWN for lang in langs], pa.bool_()))
+                langs, scores = _labelled(batch["text"], tagger or ByteTagger([""]))
+                good = [lang != UNKNOWN and (not tagger or ((languages is None or lang in languages) and score >= least)) for lang, score in zip(langs, scores.tolist(), strict=True)]
+                if at is not None:
+                    filled = pa.compute.coalesce(batch["lang"], pa.array(langs, batch["lang"].type))
+                    batch = batch.set_column(at, "lang", filled)
+                yield batch.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
 
 
 def _labelled(text: pa.Array, tagger: ByteTagger | None) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text of an Arrow column."""
+    """Language and score, to four places, of each text of an Arrow column."""
     kind = np.int64 if pa.types.is_large_string(text.type) else np.int32
     offsets = np.frombuffer(text.buffers()[1], kind)[text.offset : text.offset + len(text) + 1].astype(np.int64)
     data = text.buffers()[2]
@@ -234,7 +272,7 @@ def _labelled(text: pa.Array, tagger: ByteTagger | None) -> tuple[list[str], np.
     if tagger is not None:
         own = np.flatnonzero(_has_letter(text, flat, starts, ends))
         total = tagger.pooled(flat, starts[own], ends[own])
-        mean = total[:, :-1] / np.maximum(total[:, -1:], 1)
+        mean = np.round(total[:, :-1] / np.maximum(total[:, -1:], 1), 4)
         best = mean.argmax(1)
         scores[own] = np.clip(mean[np.arange(len(own)), best], 0, 1)
         for i, k in zip(own.tolist(), best.tolist(), strict=True):

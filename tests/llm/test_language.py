@@ -10,13 +10,14 @@ def test_backpropagation_equals_differences():
     rng = np.random.default_rng(0)
     tagger = byte_gru.ByteTagger(["a", "b", "c"], h=3)
     x, y = rng.integers(65, 90, (7, 5)).astype(np.uint8), rng.integers(0, 3, 5)
+    size = np.array([7, 7, 3, 7, 1])
     params = [tagger.ahead.table, tagger.ahead.inner, tagger.back.table, tagger.back.inner, tagger.out, tagger.bias]
 
     def loss():
-        p, _, _ = tagger.probabilities(x)
-        return -np.log(p[:, y, np.arange(5)]).mean()
+        p, _, _ = tagger.probabilities(x, size)
+        return -np.log(p[:, y, np.arange(5)])[np.arange(7)[:, None] < size].mean()
 
-    for p, g in zip(params, tagger._gradients(x, y), strict=True):
+    for p, g in zip(params, tagger._gradients(x, size, y), strict=True):
         flat, own = p.reshape(-1), g.reshape(-1)
         for i in np.argsort(-np.abs(own))[:4]:
             was, eps = flat[i], 1e-2
@@ -36,10 +37,29 @@ def test_segments_together_are_texts_alone():
     together = tagger.pooled(flat, ends - [len(t) for t in texts], ends)
     for i, text in enumerate(texts):
         alone = tagger.pooled(np.frombuffer(text, np.uint8), np.array([0]), np.array([len(text)]))
-        np.testing.assert_allclose(together[i], alone[0], rtol=1e-3, atol=1e-3)
+        assert (together[i] == alone[0]).all()
     assert together[3, -1] == 0 and together[1, -1] == 1000
 
 
+def test_rows_do_not_depend_on_partitions(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    tagger = byte_gru.ByteTagger(["a", "b", "c"], seed=5)
+    one, many = (sorted(map(tuple, byte_gru.predict(docs.repartition(n), tagger).collect())) for n in (1, 17))
+    assert one == many and len({r[2] for r in one}) > 1
+
+
+def test_accepted_languages_and_filled_labels(spark):
+    docs = spark.createDataFrame([(1, "abc", None), (2, "abc", "x"), (3, "1", None), (4, "zzz", None)], "doc_id long, text string, lang string")
+    tagger = byte_gru.ByteTagger(["a", "b"], seed=5)
+    told = {r.doc_id: r for r in byte_gru.predict(docs, tagger).collect()}
+    kept = byte_gru.accepted(docs, tagger)
+    assert sorted(map(tuple, kept.collect())) == [(1, "abc", told[1].lang_pred), (2, "abc", "x"), (4, "zzz", told[4].lang_pred)]
+    few = byte_gru.accepted(docs, tagger, {told[1].lang_pred}, told[1].score)
+    want = {i for i in (1, 2, 4) if told[i].lang_pred == told[1].lang_pred and told[i].score >= told[1].score}
+    assert {r.doc_id for r in few.collect()} == want
+    assert byte_gru.fit(docs.drop("lang")) is None and byte_gru.fit(docs.where("lang is null")) is None
+
+
 def test_query_on_held_out_documents(spark, duck, sf_dir):
     made = {r.doc_id: r for r in QUERIES["op6_byte_gru"](spark, sf_dir).collect()}
     docs = duck.sql("SELECT doc_id, text, lang FROM documents").fetchall()
