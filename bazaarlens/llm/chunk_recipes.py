@@ -68,9 +68,7 @@ def dedup(
         recipes = _spelled_out(cut, clashing)
     groups = recipes.groupBy("recipe").agg(
         F.count(F.lit(1)).alias("group_size"),
-        F.max_by(
-            "doc_id", F.struct("points", F.col("doc_id").isNotNull(), -F.coalesce("doc_id", F.lit(0)))
-        ).alias("keep_id"),
+        F.min(F.struct(-F.col("points"), F.col("doc_id").isNull(), "doc_id"))["doc_id"].alias("keep_id"),
     )
     # written, so that the join has exchanges of its own and a list that many documents share can be split
     shared = write_out(groups.where("group_size > 1"), "chunk-groups")

@@ -174,3 +174,51 @@ def test_components_of_chains_stars_and_loops(spark):
     root = roots({x for e in links for x in e}, links)
     assert sorted(map(tuple, made)) == sorted((n, r) for n, r in root.items())
     assert components(spark.createDataFrame([], "a long, b long"), "test").collect() == []
+
+
+def thue_morse(n, a="a", b="b"):
+    return [b if i.bit_count() % 2 else a for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_and_texts_of_alternating_patterns_stay_apart(spark, n):
+    """Patterns whose polynomial fingerprints modulo a power of two are equal: as words, and as words of a text."""
+    one, two = "".join(thue_morse(n)), "".join(thue_morse(n, "b", "a"))
+    rest = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"{one} {rest}"), (2, f"{two} {rest}"), (3, " ".join(thue_morse(n))), (4, " ".join(thue_morse(n, "b", "a"))), (5, two)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    made = recompression.remove_repeats(df, digests=True).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, made)) == repeats_by_force(rows)
+    assert sorted(map(tuple, bottom_k.near_dedup(df).collect())) == near_by_force(rows)
+
+
+def test_numbers_of_words_across_parts(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from bazaarlens.llm import words
+
+    text = pa.array(["ab " + "x" * 700 + " y", "", None, "x" * 700, "y ab  ab", " "])
+    whole = words.Words(text).numbers(3)
+    monkeypatch.setattr(words, "_PART", 64)
+    assert (words.Words(text).numbers(3) == whole).all()
+    assert whole[1] == whole[3] and whole[0] == whole[5] == whole[6] and len(np.unique(whole)) == 3
+
+
+def test_stretches_are_known_by_their_words():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    words_ = rng.integers(0, 3, 400).astype(np.uint64)
+    of = recompression.Stretches(words_).of
+    low, size = rng.integers(0, 370, 3000), rng.integers(1, 31, 3000)
+    names = {}
+    for a, n, name in zip(low.tolist(), size.tolist(), of(low, low + size).tolist(), strict=True):
+        assert names.setdefault(name, tuple(words_[a : a + n])) == tuple(words_[a : a + n])
+    assert len(set(names.values())) == len(names)
+
+
+def test_smallest_doc_ids_and_extreme_ones(spark):
+    rows = [(-(2**63), "a b"), (2**63 - 1, "ab"), (-(2**63), "x"), (5, "x ")]
+    made = chunk_recipes.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.keep_id) for r in made) == [(-(2**63), -(2**63)), (-(2**63), 5), (5, 5), (2**63 - 1, -(2**63))]
