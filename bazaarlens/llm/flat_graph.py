@@ -37,6 +37,8 @@ BEAM = 32
 
 def unit(rows: np.ndarray) -> np.ndarray:
     rows = rows.astype(np.float64)
+    # scaled by a power of two, so that no square overflows or vanishes
+    rows = np.ldexp(rows, -np.frexp(np.abs(rows).max(1, keepdims=True))[1])
     return rows / np.sqrt((rows * rows).sum(1, keepdims=True))
 
 

@@ -75,3 +75,9 @@ def test_no_vectors(spark):
     assert flat_graph.near_dedup(spark.createDataFrame([], KIND)).collect() == []
     rows = flat_graph.near_dedup(spark.createDataFrame([(1, None, None), (None, [1.0], 1), (None, [1.0], 1)], KIND)).collect()
     assert sorted((r.n_links, r.component_id, r.kept) for r in rows if r.vec_id == 1) == [(0, 1, True)] and len(rows) == 3
+
+
+def test_vectors_of_any_size_are_compared(spark):
+    rows = [(1, [1e200, 1e200], 0), (2, [1.0, 1.0], 0), (3, [1e-200, 1e-200], 0), (4, [5e-324, 0.0], 0), (5, [1.0, 0.0], 0)]
+    made = flat_graph.near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in made) == [(1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 1, 4), (5, 1, 4)]
