@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarlens.functions.columns import percent, rounded
+from bazaarlens.functions.columns import percent, rounded, row_count
 from bazaarlens.operators.banding import display_sample, gap_table
 from bazaarlens.operators.keep_one import keep_first
 from bazaarlens.operators.ordering import global_running_sum, ntile_bucket, order_globally, pct_change, share_of_total
 from bazaarlens.plans import categories, checks, customers, delivery, distance, intermediate, orders, sellers
 from bazaarlens.plans.settings import BENCHMARK as S
 from bazaarlens.plans.star import INTERMEDIATES, MARTS, STAGED, Star
-from bazaarlens.session import prefer_skew_handling, scratch_path
+from bazaarlens.session import passing_database, prefer_skew_handling, scratch_path
 from bazaarlens.sources import catalog, csv_files
 from bazaarlens.sources.parquet_tables import as_text
 from bazaarlens.sources.schemas import FILE_ENDINGS
@@ -64,19 +64,39 @@ def read_back_csv(star: Star) -> DataFrame:
 def loaded_namespace(star: Star, *tables: str) -> tuple[SparkSession, str, dict[str, csv_files.Loaded]]:
     folder = csv_drop(star, *tables)
     spark = star.raw("orders").sparkSession
-    namespace = f"raw_{uuid4().hex}"
-    return spark, namespace, csv_files.load_raw(spark, folder, namespace, scratch_path(spark, "raw-tables"))
+    namespace = passing_database(spark, "raw")
+    return spark, namespace, csv_files.load_raw(spark, folder, namespace)
 
 
 def raw_load(star: Star) -> DataFrame:
-    spark, _, written = loaded_namespace(star)
-    return spark.createDataFrame([(t, n.written) for t, n in written.items()], "table_name string, rows_written bigint")
+    spark, namespace, loaded = loaded_namespace(star)
+    spark.sql(f"DROP DATABASE {namespace} CASCADE")
+    return spark.createDataFrame([(t, n.written) for t, n in loaded.items()], "table_name string, rows_written bigint")
+
+
+def raw_profile(star: Star) -> DataFrame:
+    """Every column of the nine raw tables after the way through CSV files and the catalog: known values and their sum
+    (of a text's length)."""
+    spark, namespace, _ = loaded_namespace(star)
+    profiles = []
+    for name in FILE_ENDINGS:
+        raw = catalog.scan(spark, namespace, name)
+        cells = []
+        for field in raw.schema:
+            value = F.length(c(field.name)) if isinstance(field.dataType, T.StringType) else c(field.name)
+            total = F.coalesce(F.sum(value.cast("decimal(38,6)")), F.lit(0)).cast("decimal(38,4)")
+            cells += [row_count().alias(f"rows:{field.name}"), F.count(field.name).alias(f"known:{field.name}"), total.alias(f"total:{field.name}")]
+        lines = [F.struct(F.lit(n).alias("column_name"), *[c(f"`{k}:{n}`").alias(k) for k in ("rows", "known", "total")]) for n in raw.columns]
+        profiles.append(raw.agg(*cells).select(F.lit(name).alias("table_name"), F.inline(F.array(*lines))))
+    return reduce(DataFrame.unionByName, profiles)
 
 
 def namespace_tables(star: Star) -> DataFrame:
     spark, namespace, _ = loaded_namespace(star, "orders")
     catalog.ensure_namespace(spark, namespace)
-    return spark.sql(f"SHOW TABLES IN {namespace}").select(c("tableName").alias("table_name"))
+    listed = spark.sql(f"SHOW TABLES IN {namespace}").select(c("tableName").alias("table_name"))  # run at once
+    spark.sql(f"DROP DATABASE {namespace} CASCADE")
+    return listed
 
 
 def source_scan(star: Star) -> DataFrame:
@@ -86,23 +106,23 @@ def source_scan(star: Star) -> DataFrame:
 
 def view(star: Star) -> DataFrame:
     name = f"stg_orders_{uuid4().hex}"
-    return catalog.publish_view(star.table("stg_orders"), name).agg(
-        F.count(F.lit(1)).alias("orders"), F.count_distinct("customer_id").alias("customers")
-    )
+    seen = catalog.publish_view(star.table("stg_orders"), name)
+    counted = seen.agg(F.count(F.lit(1)).alias("orders"), F.count_distinct("customer_id").alias("customers"))
+    counted.sparkSession.catalog.dropTempView(name)  # the plan above is resolved already
+    return counted
 
 
 def table(star: Star) -> DataFrame:
     df = star.table("dim_geolocation")
-    spark, namespace = df.sparkSession, f"marts_{uuid4().hex}"
-    catalog.ensure_namespace(spark, namespace, scratch_path(spark, "tables"))
+    spark = df.sparkSession
+    namespace = passing_database(spark, "marts")
     catalog.write_table(df, f"{namespace}.dim_geolocation")
     return catalog.scan(spark, namespace, "dim_geolocation")
 
 
 def built_counts(star: Star) -> DataFrame:
     spark = star.raw("orders").sparkSession
-    namespace = f"marts_{uuid4().hex}"
-    catalog.ensure_namespace(spark, namespace, scratch_path(spark, "marts"))
+    namespace = passing_database(spark, "marts")
 
     def store(name: str, df: DataFrame) -> DataFrame:
         catalog.write_table(df, f"{namespace}.{name}")
@@ -257,6 +277,7 @@ QUERIES: dict[str, Query] = {
     # sources and sinks
     "src_csv": read_back_csv,
     "sink_raw": raw_load,
+    "sink_raw_profile": raw_profile,
     "src_ns": namespace_tables,
     "src_scan": source_scan,
     "sink_view": view,

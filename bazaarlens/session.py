@@ -12,6 +12,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 _databases: dict[str, str] = {}
+_borrowed: list[str] = []
 
 # A hot key on the big side of a join is split even where the split costs one more shuffle above the join.
 SKEW_SETTINGS = {
@@ -56,10 +57,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{scratch_database(spark)}/{label}-{uuid4().hex}"
 
 
+def passing_database(spark: SparkSession, kind: str) -> str:
+    """A new database in scratch that goes when scratch is cleared."""
+    name = f"{kind}_{uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, kind)}'")
+    _borrowed.append(name)
+    return name
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove what this process has written to scratch; frames composed on it cannot be read afterwards."""
-    for name in _databases.values():
+    for name in (*_borrowed, *_databases.values()):
         spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    _borrowed.clear()
     _databases.clear()
 
 

@@ -1,11 +1,13 @@
 """CSV drops: distributed read with declared types, and the overwrite load into raw tables.
 
 Nothing is lost or changed in silence: every file whose name fits a table is read, columns are bound by the names in
-each file's own header, and a row that doesn't fit its types is refused with its values, not turned into NULLs.
+each file's own header, and a row that doesn't fit its types is refused with its values, not turned into NULLs. An
+amount with more places than its column is rounded to them.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -13,10 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bazaarlens.session import write_out
 from bazaarlens.sources.catalog import ensure_namespace, write_table
 from bazaarlens.sources.schemas import FILE_ENDINGS, RAW_SCHEMAS
 
 BROKEN, REFUSED = "_broken_record", "_refused"
+HEADERS = 16  # headers read at the same time
 
 
 class Loaded(NamedTuple):
@@ -49,8 +53,13 @@ def _by_header(spark: SparkSession, table: str, paths: list[str]) -> dict[tuple[
     """Files grouped by the order of their columns; a file with other columns is refused as a whole."""
     names = {f.name for f in T.StructType.fromDDL(RAW_SCHEMAS[table])}
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        header = tuple(c.strip() for c in spark.read.option("header", True).option("escape", '"').csv(path).columns)
+
+    def header_of(path: str) -> tuple[str, ...]:
+        return tuple(c.strip() for c in spark.read.option("header", True).option("escape", '"').csv(path).columns)
+
+    with ThreadPoolExecutor(HEADERS) as pool:  # a header is a job of one short task
+        headers = list(pool.map(header_of, paths))
+    for path, header in zip(paths, headers, strict=True):
         if header and (set(header) != names or len(header) != len(names)):
             raise ValueError(f"{path} has columns {list(header)}; {table} needs {sorted(names)}")
         if header:
@@ -59,13 +68,10 @@ def _by_header(spark: SparkSession, table: str, paths: list[str]) -> dict[tuple[
 
 
 def _fits(text: Column, kind: T.DataType) -> Column:
-    """Whether a value has its type without being changed: no number that would become NULL or be rounded."""
+    """Whether a value is one of its type, so that it would not become NULL."""
     if isinstance(kind, T.StringType):
         return text.isNull() | (F.length(text) >= 0)  # always true, and has the column read: else a short row goes unseen
-    typed = text.try_cast(kind)
-    if isinstance(kind, T.DecimalType):
-        return text.isNull() | F.coalesce(typed == text.try_cast("decimal(38,18)"), F.lit(False))
-    return text.isNull() | typed.isNotNull()
+    return text.isNull() | text.try_cast(kind).isNotNull()
 
 
 def checked_csv_table(spark: SparkSession, table: str, paths: list[str]) -> DataFrame:
@@ -109,12 +115,13 @@ def read_csv_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def load_raw(spark: SparkSession, folder: str, namespace: str, location: str | None = None) -> dict[str, Loaded]:
     """Replace the raw tables by the files of ``folder``; rows written and refused per table.
 
+    The text is parsed once, into scratch; good and refused rows are split from there.
     Refused rows are kept in ``<table>_refused`` with the values that don't fit; the table is there only if it has rows.
     """
     ensure_namespace(spark, namespace, location)
     loaded = {}
     for table, paths in find_csv_files(spark, folder).items():
-        checked = checked_csv_table(spark, table, paths)
+        checked = write_out(checked_csv_table(spark, table, paths), f"{table}-checked")
         written = write_table(checked.where(F.col(REFUSED).isNull()).drop(REFUSED), f"{namespace}.{table}")
         spark.sql(f"DROP TABLE IF EXISTS {namespace}.{table}_refused")
         bad = checked.where(F.col(REFUSED).isNotNull())

@@ -1,4 +1,7 @@
-"""Explicit schemas of the nine raw tables (fixed values: column names and order of the source files)."""
+"""Explicit schemas of the nine raw tables (fixed values: column names and order of the source files).
+
+Money is wider than any shop prices it, so that amounts arrive as they were sent.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +10,9 @@ RAW_SCHEMAS: dict[str, str] = {
         order_approved_at string, order_delivered_carrier_date string, order_delivered_customer_date string,
         order_estimated_delivery_date string""",
     "order_items": """order_id string, order_item_id int, product_id string, seller_id string,
-        shipping_limit_date string, price decimal(12,2), freight_value decimal(12,2)""",
+        shipping_limit_date string, price decimal(20,6), freight_value decimal(20,6)""",
     "order_payments": """order_id string, payment_sequential int, payment_type string, payment_installments int,
-        payment_value decimal(12,2)""",
+        payment_value decimal(20,6)""",
     "order_reviews": """review_id string, order_id string, review_score int, review_comment_title string,
         review_comment_message string, review_creation_date string, review_answer_timestamp string""",
     "customers": """customer_id string, customer_unique_id string, customer_zip_code_prefix string,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from bazaarlens.plans.checks import ACCEPTED, COMPOSITE, NOT_NULL, RELATIONSHIPS, UNIQUE
+from bazaarlens.sources.schemas import RAW_SCHEMAS
 from oracle.tables import with_tables
 
 
@@ -29,6 +32,21 @@ def whole(table: str, spec: str) -> str:
     return f"select {cols(spec)} from {table}"
 
 
+def profiled(raw: str, table: str) -> str:
+    """Rows, known values and their sum (of a text's length) for each column of a raw table."""
+    lines = []
+    staged = [spec.split(":")[0] for spec in LEVELS[table].split()]
+    for declared, column in zip(re.sub(r"\(.*?\)", "", RAW_SCHEMAS[raw]).split(","), staged, strict=True):
+        name, kind = declared.split()
+        value = f"length(cast({column} as varchar))" if kind == "string" else column
+        lines.append(
+            f"""select '{raw}' as table_name, '{name}' as column_name, cast(count(*) as bigint) as "rows",
+            cast(count({column}) as bigint) as known,
+            cast(cast(coalesce(sum(cast({value} as decimal(24,6))), 0) as decimal(38,4)) as double) as total from {table}"""
+        )
+    return " union all ".join(lines)
+
+
 def corr(x: str, y: str) -> str:
     """NULL where a side is constant (the engine says NaN): the promised window of these tables always is."""
     return d(f"case when not isnan(corr({x}, {y})) then corr({x}, {y}) end", 6)
@@ -99,6 +117,7 @@ S |= {
     "sink_raw": " union all ".join(
         f"select '{raw}' as table_name, cast(count(*) as bigint) as rows_written from {t}" for raw, t in RAW.items()
     ),
+    "sink_raw_profile": " union all ".join(profiled(raw, t) for raw, t in RAW.items()),
     "src_ns": "select 'orders' as table_name",
     "src_scan": "select cast(order_id as varchar) as order_id, status, purchased_at from stg_orders",
     "sink_view": "select cast(count(*) as bigint) as orders, cast(count(distinct customer_id) as bigint) as customers from stg_orders",
@@ -226,7 +245,7 @@ S |= {
             select category_name from single_item where category_name is not null group by 1
             order by count(*) desc, category_name limit 8) group by category_name""",
     # distance
-    "an_zip_centroid": f"select zip_code_prefix, {d('lat', 4)} as latitude, {d('lng', 4)} as longitude from zip_point",
+    "an_zip_centroid": f"select zip_code_prefix, {d('degrees(phi)', 4)} as latitude, {d('degrees("lambda")', 4)} as longitude from zip_point",
     "an_order_distance": f"""select order_id, delivery_state, status, cast(delivery_time_days as bigint) as delivery_time_days,
         is_delivered_on_time, cast(review_score as bigint) as review_score, cast(est_buffer_days as bigint) as est_buffer_days,
         {d('weight_g', 4)} as weight_g, category_name, {d('dist_km', 4)} as dist_km from order_distance""",

@@ -48,14 +48,15 @@ def test_every_file_is_read_and_columns_follow_their_header(spark, tmp_path):
 
 def test_rows_that_do_not_fit_are_kept_apart(spark, tmp_path):
     head = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
-    good = ["o1,1,p,s,2018-01-01 00:00:00,12.50,1\n", "o2,2,p,s,,,\n"]
-    bad = ["o3,1,p,s,,12x,1\n", "o4,abc,p,s,,1,1\n", "o5,1,p,s,,1.005,1\n", "o6,1,p\n"]
+    good = ["o1,1,p,s,2018-01-01 00:00:00,12.50,1\n", "o2,2,p,s,,,\n", "o7,1,p,s,,1.005,1891.7505\n"]
+    bad = ["o3,1,p,s,,12x,1\n", "o4,abc,p,s,,1,1\n", "o5,1,p,s,,1e40,1\n", "o6,1,p\n"]
     (tmp_path / "order_items_dataset.csv").write_text(head + "".join(good + bad))
     loaded = csv_files.load_raw(spark, str(tmp_path), "raw_bad", scratch_path(spark, "raw-bad"))
-    assert loaded == {"order_items": (2, 4)}
-    assert table(spark.table("raw_bad.order_items"), "order_id") == [("o1",), ("o2",)]
+    assert loaded == {"order_items": (3, 4)}
+    assert table(spark.table("raw_bad.order_items"), "order_id") == [("o1",), ("o2",), ("o7",)]
+    assert table(spark.table("raw_bad.order_items").where("order_id = 'o7'"), "price", "freight_value") == [(1.005, 1891.7505)]
     refused = [r for (r,) in table(spark.table("raw_bad.order_items_refused"), "_refused")]
-    assert refused == ["o6,1,p", "order_item_id=abc", "price=1.005", "price=12x"]
+    assert refused == ["o6,1,p", "order_item_id=abc", "price=12x", "price=1e40"]
     with pytest.raises(Exception, match="row does not fit"):
         csv_files.read_csv_folder(spark, str(tmp_path))["order_items"].collect()
 
