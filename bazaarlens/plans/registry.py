@@ -14,13 +14,14 @@ from bazaarlens.functions.columns import percent, rounded, row_count
 from bazaarlens.operators.banding import display_sample, gap_table
 from bazaarlens.operators.keep_one import keep_first
 from bazaarlens.operators.ordering import global_running_sum, ntile_bucket, order_globally, pct_change, share_of_total
-from bazaarlens.plans import categories, checks, customers, delivery, distance, intermediate, orders, sellers
+from bazaarlens.plans import categories, checks, customers, delivery, distance, intermediate, orders, periods, sellers
 from bazaarlens.plans.settings import BENCHMARK as S
 from bazaarlens.plans.star import INTERMEDIATES, MARTS, STAGED, Star
 from bazaarlens.session import passing_database, prefer_skew_handling, scratch_path
 from bazaarlens.sources import catalog, csv_files
 from bazaarlens.sources.parquet_tables import as_text
 from bazaarlens.sources.schemas import FILE_ENDINGS
+from bazaarlens.streaming import incremental
 
 c = F.col
 Query = Callable[[Star], DataFrame]
@@ -273,6 +274,86 @@ def economics(star: Star) -> DataFrame:
     return categories.category_economics(star.table("product_lines"))
 
 
+# --- loads that go on ----------------------------------------------------------------------------------------------
+
+AS_OF = ("1996-12-31", "1999-06-30", "2001-08-01")
+#: The benchmark's line numbers repeat within an order; a line is told apart by all of these.
+LINE_KEY = ("order_id", "order_item_id", "product_id", "seller_id", "price")
+SECOND_DROP = "1999-01-01"  # orders bought from here on come with the second drop
+
+
+def order_drop(star: Star) -> DataFrame:
+    person = star.table("stg_customers").select("customer_id", c("customer_unique_id").alias("person"))
+    bought = star.table("stg_orders").join(person, "customer_id")
+    text = [c("order_id").cast("string"), c("person").cast("string").alias("customer_id"), "status"]
+    return bought.select(*text, c("purchased_at").cast("timestamp").alias("purchased_at"))
+
+
+def item_drop(star: Star) -> DataFrame:
+    at = star.table("stg_orders").select("order_id", c("purchased_at").cast("timestamp").alias("purchased_at"))
+    kinds = T.StructType.fromDDL(incremental.ITEMS)
+    return star.table("stg_order_items").join(at, "order_id").select(*[c(f.name).cast(f.dataType).alias(f.name) for f in kinds])
+
+
+def deliver(df: DataFrame, folder: str, name: str) -> None:
+    df.write.parquet(f"{folder}/{name}")
+
+
+def two_drops(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    early = c("purchased_at") < F.lit(SECOND_DROP).cast("timestamp")
+    return df.filter(early), df.filter(~early)
+
+
+def incremental_summaries(star: Star) -> DataFrame:
+    """Customer and seller summary after two drops of orders and items."""
+    spark = star.raw("orders").sparkSession
+    folder = scratch_path(spark, "drops")
+    shop = incremental.Shop(spark, scratch_path(spark, "shop"), item_key=LINE_KEY)
+    for n, (some, items) in enumerate(zip(two_drops(order_drop(star)), two_drops(item_drop(star)), strict=True)):
+        deliver(some, f"{folder}/orders", f"drop-{n}")
+        deliver(items, f"{folder}/items", f"drop-{n}")
+        shop.load_new(folder)
+    bought, sold = shop.customers.rows(), shop.sellers.rows()
+    of_customers = bought.select(
+        F.lit("customer").alias("kind"), c("customer_id").alias("id"), "total_orders", F.round("total_value", 2).alias("value"),
+        *[c(n).cast("timestamp_ntz").alias(n) for n in ("first_order_at", "last_order_at")],
+    )
+    of_sellers = sold.select(
+        F.lit("seller").alias("kind"), c("seller_id").alias("id"), "total_orders", "items", F.round("revenue", 2).alias("value"),
+        F.round("freight", 2).alias("freight"),
+    )
+    return of_customers.unionByName(of_sellers, allowMissingColumns=True)
+
+
+def incremental_months(star: Star) -> DataFrame:
+    """Monthly totals of three drops; the third holds orders of 1999 and before, whose days are closed by then."""
+    paid = star.table("fct_orders").select(
+        *[c(n).cast("string").alias(n) for n in ("order_id", "customer_id", "status")],
+        c("purchased_at").cast("timestamp").alias("purchased_at"),
+        c("total_payment_value").cast(incremental.MONEY).alias("order_value"),
+    )
+    withheld = (c("order_id").cast("long") % 97 == 0) & (c("purchased_at") < F.lit("2000-01-01").cast("timestamp"))
+    folder = scratch_path(paid.sparkSession, "drops")
+    totals = incremental.MonthlyTotals(paid.sparkSession, scratch_path(paid.sparkSession, "months"))
+    for n, drop in enumerate((*two_drops(paid.filter(~withheld)), paid.filter(withheld))):
+        deliver(drop, folder, f"drop-{n}")
+        totals.load_new(folder)
+    return totals.report(folder).withColumns({n: F.round(n, 2) for n in ("revenue", "late_revenue")})
+
+
+def redelivered_items(star: Star) -> DataFrame:
+    """Items and revenue by seller, of two drops of which the first is delivered again after the second."""
+    items = item_drop(star)
+    spark = items.sparkSession
+    folder, path = scratch_path(spark, "drops"), scratch_path(spark, "items-once")
+    first, second = two_drops(items)
+    for n, drop in enumerate((first, second, first)):
+        deliver(drop, folder, f"drop-{n}")
+        incremental.load_once(spark, folder, path, key=LINE_KEY)
+    taken = spark.read.schema(incremental.ITEMS).parquet(path)
+    return taken.groupBy("seller_id").agg(row_count().alias("items"), F.round(F.sum("price"), 2).alias("revenue"))
+
+
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "src_csv": read_back_csv,
@@ -428,6 +509,16 @@ QUERIES: dict[str, Query] = {
     "ex_tail_500": lambda s: customers.big_ticket_tail(s.table("customer_base"), S),
     "ex_zip_movers": lambda s: customers.zip_movers(s.table("stg_customers")),
     "ex_zip_density": lambda s: customers.zip_density(s.table("stg_geolocation")),
+    # over time
+    "fu_trailing": lambda s: periods.trailing(s.table("fct_orders"), AS_OF),
+    "fu_cohort": orders_query(periods.cohorts),
+    "fu_momentum": lambda s: periods.momentum(in_window(s).table("fct_orders"), s.table("product_lines"), S),
+    "fu_season": windowed_query(periods.season),
+    "fu_seller_period": lambda s: periods.seller_periods(s.table("order_lines"), s.table("fct_orders")),
+    "fu_sla_route": lambda s: periods.routes(placed(s), s.table("order_lines"), s.table("stg_sellers")),
+    "fu_incremental": incremental_summaries,
+    "fu_incremental_months": incremental_months,
+    "fu_incremental_redelivered": redelivered_items,
     # data quality
     "dq_unique": lambda s: checks.check_unique(s.table("stg_order_reviews"), "review_id"),
     "dq_not_null": lambda s: checks.check_not_null(s.table("stg_products"), "weight_g").select("product_id", "weight_g"),

@@ -541,5 +541,108 @@ def report() -> str:
 
 S["dq_report"] = report()
 
+S |= {
+    # over time
+    "fu_trailing": """
+        select * from (with dates as (select unnest([date '1996-12-31', date '1999-06-30', date '2001-08-01']) as as_of),
+        known as (select as_of, customer_id, cast(purchased_at as date) as day, coalesce(total_payment_value, 0) as v
+                  from fct_orders join dates on cast(purchased_at as date) <= as_of where customer_id is not null)
+        select as_of, customer_id, cast(count(*) as bigint) as total_orders,
+               cast(count(*) filter (day >= as_of - interval 12 month) as bigint) as total_orders_last_12m,
+               cast(round(coalesce(sum(v) filter (day >= as_of - interval 12 month), 0), 2) as double) as total_spend_last_12m,
+               max(day) >= as_of - interval 3 month as has_order_in_last_quarter,
+               max(day) >= as_of - interval 12 month as has_order_in_last_year,
+               cast(as_of - max(day) as bigint) as days_since_last_order
+        from known group by as_of, customer_id)""",
+    "fu_cohort": f"""
+        select * from (with seen as (select distinct customer_id, date_trunc('month', purchased_at) as month from fct_orders
+                      where customer_id is not null and purchased_at is not null),
+        firsts as (select customer_id, min(month) as cohort from seen group by 1),
+        sizes as (select cohort, count(*) as customers from firsts group by 1),
+        cells as (select cohort, datediff('month', cohort, month) as month_offset, count(*) as n from seen join firsts using (customer_id) group by 1, 2),
+        span as (select min(month) as low, max(month) as high from seen),
+        months as (select unnest(generate_series(low, high, interval 1 month)) as cohort, high, datediff('month', low, high) as most from span),
+        grid as (select cohort, high, unnest(generate_series(0, most)) as month_offset from months),
+        told as (select grid.cohort, grid.month_offset, coalesce(customers, 0) as customers,
+                        case when datediff('month', grid.cohort, high) >= grid.month_offset then coalesce(n, 0) end as active
+                 from grid left join sizes on sizes.cohort = grid.cohort
+                 left join cells on cells.cohort = grid.cohort and cells.month_offset = grid.month_offset)
+        select cast(cohort as date) as cohort, cast(month_offset as bigint) as month_offset, cast(customers as bigint) as customers,
+               cast(active as bigint) as active, {d("case when customers > 0 then 100.0 * active / customers end", 4)} as retention_pct from told)""",
+    "fu_momentum": f"""
+        select * from (with months as (select cast(range as date) as month, row_number() over (order by range) as t
+                        from range(date '1999-07-01', date '2001-07-01', interval 1 month)),
+        sold as (select category_name, date_trunc('month', purchased_at) as month, round(sum(total_item_value), 2) as v
+                 from fct_order_items join windowed on windowed.order_id = fct_order_items.order_id where category_name is not null group by 1, 2),
+        filled as (select category_name, t, cast(coalesce(v, 0) as double) as y from (select distinct category_name from sold) names
+                   join months on true left join sold using (category_name, month)),
+        slopes as (select a.category_name, median((b.y - a.y) / (b.t - a.t)) as slope from filled a
+                   join filled b on a.category_name = b.category_name and a.t < b.t group by 1),
+        levels as (select category_name, count(*) as months, count(*) filter (y <> 0) as sold, avg(y) as level from filled group by 1),
+        told as (select *, case when level <> 0 then 100 * slope / level end as pct from levels join slopes using (category_name))
+        select category_name, cast(months as bigint) as months, cast(sold as bigint) as months_with_sales, {d("level", 4)} as level,
+               {d("slope", 4)} as slope, {d("pct", 4)} as pct_per_month,
+               case when pct > 1 then 'growing' when pct < -1 then 'declining' else 'flat' end as trend from told)""",
+    "fu_season": f"""
+        select * from (with counted as (select date_trunc('month', purchased_at) as month, count(*) as n from windowed group by 1),
+        axis as (select unnest(generate_series(min(month), max(month), interval 1 month)) as month from counted),
+        series as (select month, coalesce(n, 0) as y, row_number() over (order by month) as t, count(*) over () as many
+                   from axis left join counted using (month)),
+        trended as (select month, y, t, many, (sum(y) over near + sum(y) over nearer) / 24.0 as trend from series
+                    window near as (order by t rows between 6 preceding and 6 following),
+                           nearer as (order by t rows between 5 preceding and 5 following)),
+        ratios as (select month(month) as m, y / trend as r from trended where t > 6 and t <= many - 6),
+        means as (select m, count(*) as years, avg(r) as mean from ratios group by 1)
+        select cast(w.m as bigint) as month_of_year, cast(coalesce(years, 0) as bigint) as years,
+               {d("100 * mean / (select avg(mean) from means)", 4)} as season_index
+        from range(1, 13) w(m) left join means on means.m = w.m)""",
+    "fu_seller_period": f"""
+        select * from (with sold as (select i.seller_id, i.order_id, i.price, date_trunc('month', o.purchased_at) as month, date_trunc('quarter', o.purchased_at) as quarter
+                      from fct_order_items i join fct_orders o on o.order_id = i.order_id),
+        leveled as (select *, 'month' as level, month as period from sold union all select *, 'quarter', quarter from sold
+                    union all select *, 'all', null from sold),
+        money as (select seller_id, level, period, count(distinct order_id) as orders, count(*) as items, sum(price) as revenue from leveled group by all),
+        told as (select seller_id, level, period, avg(review_score) as review, 100.0 * count(*) filter (is_delivered_on_time) / nullif(count(is_delivered_on_time), 0) as pct
+                 from (select distinct seller_id, level, period, order_id from leveled) x join fct_orders using (order_id) group by all)
+        select money.seller_id, money.level, cast(money.period as date) as period, cast(orders as bigint) as orders, cast(items as bigint) as items,
+               cast(round(revenue, 2) as double) as revenue, {d("review", 4)} as avg_review, {d("pct", 4)} as on_time_pct
+        from money join told on told.seller_id = money.seller_id and told.level = money.level and told.period is not distinct from money.period)""",
+    "fu_sla_route": f"""
+        select * from (with sent as (select distinct i.order_id, s.state as seller_state from fct_order_items i join stg_sellers s on s.seller_id = i.seller_id
+                      where s.state is not null),
+        legs as (select seller_state, delivery_state, delivery_time_days as actual, datediff('day', purchased_at, estimated_delivery_date) as promised
+                 from sent join fct_orders on fct_orders.order_id = sent.order_id
+                 where status = 'delivered' and delivery_state is not null and delivery_time_days is not null and estimated_delivery_date is not null),
+        ranked as (select *, count(*) over route as n, row_number() over (partition by seller_state, delivery_state order by actual) as ra,
+                          row_number() over (partition by seller_state, delivery_state order by promised) as rp
+                   from legs window route as (partition by seller_state, delivery_state))
+        select seller_state, delivery_state, cast(count(*) as bigint) as orders,
+               cast(min(promised) filter (2 * rp >= n) as bigint) as promised_median, cast(min(actual) filter (2 * ra >= n) as bigint) as actual_median,
+               cast(min(actual) filter (10 * ra >= 9 * n) as bigint) as actual_p90, {d("avg(promised - actual)", 4)} as avg_days_early,
+               {d("100.0 * count(*) filter (actual > promised) / count(*)", 4)} as late_pct
+        from ranked group by 1, 2)""",
+    "fu_incremental": """
+        select * from (with worth as (select order_id, sum(price + freight_value) as v from stg_order_items group by 1),
+        per_customer as (select customer_unique_id as id, count(*) as total_orders, sum(coalesce(v, 0)) as value, min(purchased_at) as first_order_at,
+                                max(purchased_at) as last_order_at
+                         from stg_orders join stg_customers on stg_customers.customer_id = stg_orders.customer_id
+                         left join worth on worth.order_id = stg_orders.order_id group by 1),
+        per_seller as (select seller_id as id, count(distinct stg_order_items.order_id) as total_orders, count(*) as items, sum(price) as value, sum(freight_value) as freight
+                       from stg_order_items join stg_orders on stg_orders.order_id = stg_order_items.order_id group by 1)
+        select 'customer' as kind, cast(id as varchar) as id, cast(total_orders as bigint) as total_orders, cast(round(value, 2) as double) as value,
+               first_order_at, last_order_at, cast(null as bigint) as items, cast(null as double) as freight from per_customer
+        union all
+        select 'seller', cast(id as varchar), total_orders, cast(round(value, 2) as double), null, null, items, cast(round(freight, 2) as double) from per_seller)""",
+    "fu_incremental_months": """
+        select * from (with delivered as (select cast(date_trunc('month', purchased_at) as date) as month, coalesce(total_payment_value, 0) as v,
+                                  order_id % 97 = 0 and purchased_at < timestamp '2000-01-01' as late from fct_orders)
+        select month, cast(count(*) filter (not late) as bigint) as orders, cast(round(coalesce(sum(v) filter (not late), 0), 2) as double) as revenue,
+               cast(count(*) filter (late) as bigint) as late_orders, cast(round(coalesce(sum(v) filter (late), 0), 2) as double) as late_revenue
+        from delivered group by 1)""",
+    "fu_incremental_redelivered": """
+        select cast(seller_id as varchar) as seller_id, cast(count(*) as bigint) as items, cast(round(sum(price), 2) as double) as revenue
+        from stg_order_items join stg_orders on stg_orders.order_id = stg_order_items.order_id group by 1""",
+}
+
 # Without a statement: the k-means figures come from an iteration.
 STATEMENTS = {name: with_tables(sql) for name, sql in S.items()}
