@@ -1,7 +1,6 @@
 """Data-quality checks: each returns its violating rows, and a report counts them all.
 
-The report fuses every row-level check of a table (not-null, accepted values, rules) into one aggregation, so a table
-is scanned once for them; only uniqueness and references add a pass of their own.
+The report scans each table once: row rules, uniqueness, references and sequences of all tables meet in one aggregation.
 """
 
 from __future__ import annotations
@@ -193,44 +192,122 @@ def row_rules() -> list[Rule]:
     ]
 
 
-def table_report(df: DataFrame, model: str) -> DataFrame:
-    """All row-level checks of one table from a single aggregation."""
+# --- all of them in one pass ---------------------------------------------------------------------------------------
+
+
+def all_row_rules(model: str) -> list[Rule]:
+    """Rules that a row of the table breaks or keeps by itself."""
     rules = [Rule("not_null", model, n, "error", c(n).isNull()) for n in NOT_NULL.get(model, [])]
     rules += [Rule("accepted_values", m, n, "error", ~c(n).isin(*values)) for m, n, values in ACCEPTED if m == model]
-    rules += [r for r in row_rules() if r.model == model]
-    counts = df.agg(*[F.count_if(F.expr(r.violation) if isinstance(r.violation, str) else r.violation).alias(f"_{i}") for i, r in enumerate(rules)])
-    cells = [_line(r.check, r.model, r.column, r.severity, c(f"_{i}")) for i, r in enumerate(rules)]
-    return counts.select(F.inline(F.array(*cells)))
+    return rules + [r for r in row_rules() if r.model == model]
 
 
-def _line(check: str, model: str, column: str, severity: str, failing: Column) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"), F.lit(model).alias("model"), F.lit(column).alias("column"),
-        F.lit(severity).alias("severity"), failing.alias("failing_rows"),
-    )
-
+@dataclass(frozen=True)
+class Place:
+    """A key of a table: ``domain`` names all columns that are compared with each other, ``slot`` this one of them."""
 
-def _counted(df: DataFrame, check: str, model: str, column: str, severity: str) -> DataFrame:
-    return df.agg(row_count().alias("_n")).select(F.inline(F.array(_line(check, model, column, severity, c("_n")))))
+    model: str
+    columns: tuple[str, ...]
+    domain: int
+    slot: int
+
+
+# rules over several rows also look at the largest number of a key's rows, and at whether their text is one
+NUMBERED = {("stg_order_payments", "order_id"): "payment_sequential"}
+REFERRED = {("stg_order_reviews", "review_id"): "order_id"}
+
+
+def places() -> dict[tuple[str, ...], Place]:
+    """Every key that uniqueness, references and sequences ask for, by (model, columns)."""
+    domains: list[list[tuple[str, ...]]] = []
+    asked = [[(m, n), (ref, field)] for m, n, ref, field in RELATIONSHIPS]
+    asked += [[(m, n)] for m, n in UNIQUE] + [[tuple(key)] for key in COMPOSITE]
+    asked += [[("stg_order_payments", "order_id"), ("stg_orders", "order_id")], [("stg_order_reviews", "order_id")], [("stg_order_reviews", "review_id")]]
+    for together in asked:
+        joined = [d for d in domains if any(k in d for k in together)]
+        domains = [d for d in domains if d not in joined]
+        domains.append(list(dict.fromkeys(k for d in [*joined, together] for k in d)))
+    return {key: Place(key[0], key[1:], i, slot) for i, keys in enumerate(domains) for slot, key in enumerate(sorted(keys))}
+
+
+def _entries(df: DataFrame, model: str, keys: list[Place], rules: list[tuple[int, Rule]]) -> DataFrame:
+    """A row of a table as its keys, and as the rules that it breaks; the table is scanned once for all of them."""
+    null = F.lit(None).cast("string")
+
+    def entry(domain: int, key: Column, slot: int, number: Column | None = None, text: Column | None = None) -> Column:
+        number = F.lit(None).cast("bigint") if number is None else number.cast("bigint")
+        return F.struct(
+            F.lit(domain).alias("domain"), key.alias("key"), F.lit(slot).alias("slot"), number.alias("number"),
+            (null if text is None else text.cast("string")).alias("text"),
+        )
+
+    cells = []
+    for place in keys:
+        known = reduce(Column.__and__, [c(n).isNotNull() for n in place.columns])
+        key = F.when(known, F.concat_ws("\u0000", *[c(n).cast("string") for n in place.columns]))
+        name = (model, *place.columns)
+        cells.append(entry(place.domain, key, place.slot, c(NUMBERED[name]) if name in NUMBERED else None, c(REFERRED[name]) if name in REFERRED else None))
+    for at, rule in rules:
+        broken = F.expr(rule.violation) if isinstance(rule.violation, str) else rule.violation
+        cells.append(F.when(broken, entry(-1, F.lit(str(at)), 0)))
+    return df.select(F.inline(F.filter(F.array(*cells), lambda e: e.isNotNull())))
 
 
 def dq_report(star: Star) -> DataFrame:
     """check, model, column, severity, failing_rows, status for every check. Run it on a star whose marts are
-    written, otherwise each branch composes them anew."""
-    t = star.table
-    parts = [table_report(t(model), model) for model in NOT_NULL]
-    parts += [_counted(check_unique(t(m), n), "unique", m, n, "error") for m, n in UNIQUE]
-    parts += [_counted(check_unique(t(m), *cols), "composite_key", m, "+".join(cols), "error") for m, *cols in COMPOSITE]
-    parts += [
-        _counted(check_relationship(t(m), n, t(ref), field), "relationships", m, n, "error")
-        for m, n, ref, field in RELATIONSHIPS
-    ]
-    payments, reviews = t("stg_order_payments"), t("stg_order_reviews")
-    parts += [
-        _counted(incomplete_sequences(payments), "pay_seq", "stg_order_payments", "payment_sequential", "warn"),
-        _counted(several_reviews(reviews), "one_review", "stg_order_reviews", "order_id", "warn"),
-        _counted(shared_review_ids(reviews), "review_order", "stg_order_reviews", "review_id", "warn"),
-        _counted(unpaid_orders(t("stg_orders"), payments), "has_payment", "stg_orders", "order_id", "warn"),
+    written, otherwise each branch composes them anew.
+
+    Each table is scanned once. Its rows become their keys and the rules they break; all tables meet in one aggregation
+    by key, which counts a key's rows per column. Uniqueness, references and sequences are read off these counts.
+    """
+    by_key = places()
+    models = list(dict.fromkeys([*NOT_NULL, *[k[0] for k in by_key]]))
+    rules = list(enumerate(r for m in models for r in all_row_rules(m)))
+    parts = [
+        _entries(star.table(m), m, [p for p in by_key.values() if p.model == m], [(i, r) for i, r in rules if r.model == m]) for m in models
     ]
-    report = reduce(DataFrame.unionByName, parts)
+    slots = max(p.slot for p in by_key.values()) + 1
+    counts = reduce(DataFrame.unionByName, parts).groupBy("domain", "key").agg(
+        *[F.count_if(c("slot") == i).alias(f"_{i}") for i in range(slots)],
+        F.max("number").alias("number"), F.min("text").alias("low"), F.max("text").alias("high"),
+    )
+
+    def n(*key: str) -> Column:
+        return c(f"_{by_key[key].slot}")
+
+    found: dict[int, list[tuple[Rule, Column]]] = {}
+
+    def judged(check: str, key: tuple[str, ...], severity: str, failing: Column, null_key: bool = False) -> None:
+        if not null_key:
+            failing = F.when(c("key").isNotNull(), failing).otherwise(0)
+        found.setdefault(by_key[key].domain, []).append((Rule(check, key[0], "+".join(key[1:]), severity, ""), failing.cast("bigint")))
+
+    one = F.lit(1)
+    for m, name in UNIQUE:
+        judged("unique", (m, name), "error", F.when(n(m, name) > 1, one).otherwise(0))
+    for key in COMPOSITE:
+        judged("composite_key", tuple(key), "error", F.when(n(*key) > 1, one).otherwise(0))
+    for m, name, ref, field in RELATIONSHIPS:
+        judged("relationships", (m, name), "error", F.when(n(ref, field) == 0, n(m, name)).otherwise(0))
+    paid, reviewed, review, order = ("stg_order_payments", "order_id"), ("stg_order_reviews", "order_id"), ("stg_order_reviews", "review_id"), ("stg_orders", "order_id")
+    judged("pay_seq", paid, "warn", F.when((n(*paid) > 0) & (c("number") != n(*paid)), one).otherwise(0), null_key=True)
+    judged("one_review", reviewed, "warn", F.when(n(*reviewed) > 1, one).otherwise(0), null_key=True)
+    judged("review_order", review, "warn", F.when(c("low") != c("high"), one).otherwise(0), null_key=True)
+    judged("has_payment", order, "warn", F.when(n(*paid) == 0, n(*order)).otherwise(0))
+
+    # a key's rows become (number of the check, failing rows), for the checks of its domain only
+    listed: list[Rule] = [r for _, r in rules]
+    named = {"pay_seq": "payment_sequential"}
+    cells = F.when(c("domain") == -1, F.array(F.struct(c("key").try_cast("int").alias("at"), c("_0").alias("failing"))))
+    for domain, own in found.items():
+        structs = []
+        for rule, failing in own:
+            structs.append(F.struct(F.lit(len(listed)).alias("at"), failing.alias("failing")))
+            listed.append(Rule(rule.check, rule.model, named.get(rule.check, rule.column), rule.severity, ""))
+        cells = cells.when(c("domain") == domain, F.filter(F.array(*structs), lambda e: e["failing"] > 0))
+    sums = counts.select(F.inline(cells)).groupBy("at").agg(F.sum("failing").alias("failing"))
+    known = star.table(models[0]).sparkSession.createDataFrame(
+        [(i, r.check, r.model, r.column, r.severity) for i, r in enumerate(listed)], "at int, check string, model string, column string, severity string"
+    )
+    report = known.join(sums, "at", "left").select("check", "model", "column", "severity", F.coalesce("failing", F.lit(0)).alias("failing_rows"))
     return report.withColumn("status", F.when(c("failing_rows") == 0, "pass").otherwise(c("severity")))

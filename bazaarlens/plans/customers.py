@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from bazaarlens.functions.columns import correlation, clip, percent, ratio, rounded, share_true, row_count
 from bazaarlens.operators.banding import top_per_group
 from bazaarlens.operators.keep_one import keep_first
-from bazaarlens.operators.kmeans import lloyd, start_positions
+from bazaarlens.operators.kmeans import BLOCKS, Line, lloyd, start_positions
 from bazaarlens.operators.ordering import Ordered, global_median, order_globally, quantile_bucket, share_of_total
 from bazaarlens.plans.orders import exact_avg, in_window
 from bazaarlens.plans.settings import Settings
@@ -174,30 +174,28 @@ def concentration(curve: DataFrame) -> DataFrame:
 # --- ticket clusters -----------------------------------------------------------------------------------------------
 
 
-def ticket_clusters(base: DataFrame, most: int = 6, rounds: int = 50) -> DataFrame:
-    """Percent of the variance of log10(ticket) that 1-D k-means explains for k = 1..most."""
-    ordered = by_ticket(base)
-    ranked = ordered.ranked()
+def ticket_clusters(base: DataFrame, most: int = 6, rounds: int = 50, blocks: int = BLOCKS) -> DataFrame:
+    """k, explained_pct, converged: percent of the variance of log10(ticket) that 1-D k-means explains for k = 1..most.
+
+    ``converged`` is FALSE where the centers were still moving after ``rounds`` rounds.
+    """
     x = F.log10(F.greatest(c("avg_ticket"), F.lit(1)).cast("double"))
-    points = write_out(
-        ordered.rows.groupBy("avg_ticket").agg(row_count().alias("n")).select(x.alias("x"), "n"), "ticket-points"
-    )
-    stats = points.agg(F.sum("n").alias("n"), (F.sum(c("n") * c("x")) / F.sum("n")).alias("mean")).first()
-    n = stats["n"]
+    points = base.filter(c("avg_ticket").isNotNull()).groupBy(x.alias("x")).agg(row_count().alias("n"))
+    ordered = order_globally(points, [F.asc("x")], "ticket-points")
+    line = Line(ordered, blocks)
+    n, s1, s2 = map(float, line.all)
+    kind = "k int, explained_pct double, converged boolean"
     if not n:
-        return base.sparkSession.createDataFrame([], "k int, explained_pct double")
-    total = points.agg(F.sum(c("n") * F.pow(c("x") - F.lit(stats["mean"]), 2))).first()[0]
-
-    spots = {k: start_positions(n, k) for k in range(2, most + 1)}
-    wanted = sorted({r for places in spots.values() for low, high, _ in places for r in (low, high)})
-    at_rank = {r["rank"]: r["x"] for r in ranked.filter(c("rank").isin(wanted)).select("rank", x.alias("x")).collect()}
+        return base.sparkSession.createDataFrame([], kind)
+    total = max(0.0, s2 - s1 * s1 / n)
+    spots = {k: start_positions(int(n), k) for k in range(2, most + 1)}
+    x_at = line.at_ranks(ordered, sorted({r for places in spots.values() for low, high, _ in places for r in (low, high)}))
     starts = {
-        k: [at_rank[low] + (at_rank[high] - at_rank[low]) * weight for low, high, weight in places]
-        for k, places in spots.items()
+        k: [x_at[low] + (x_at[high] - x_at[low]) * weight for low, high, weight in places] for k, places in spots.items()
     }
-    within = {1: total, **lloyd(points, starts, rounds)}
-    explained = [(k, 100 * (1 - v / total) if total else None) for k, v in sorted(within.items())]
-    result = base.sparkSession.createDataFrame(explained, "k int, explained_pct double")
+    within = {1: (total, True), **lloyd(line, starts, rounds)}
+    explained = [(k, 100 * (1 - v / total) if total else None, done) for k, (v, done) in sorted(within.items())]
+    result = base.sparkSession.createDataFrame(explained, kind)
     return result.withColumn("explained_pct", F.round("explained_pct", 4))
 
 

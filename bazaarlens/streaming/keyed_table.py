@@ -11,7 +11,7 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.session import prefer_skew_handling
@@ -29,6 +29,7 @@ class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, schema: str, key: list[str], by: list[str] | None = None, buckets: int = 16, files: int = 1):
         self.spark, self.path, self.schema, self.key, self.by, self.buckets, self.files = spark, path.rstrip("/"), schema, key, by or key, buckets, files
         self.columns = [c.split()[0] for c in schema.split(", ")]
+        self._last: tuple[int, dict[int, str]] | None = None  # what this object wrote last
         prefer_skew_handling(spark)
 
     def bucketed(self, rows: DataFrame) -> DataFrame:
@@ -36,6 +37,8 @@ class KeyedTable:
 
     def manifest(self, before: int | None = None) -> dict[int, str]:
         """The folder of each bucket in the latest version (below ``before``); at most ``buckets`` rows."""
+        if before is not None and self._last and self._last[0] < before:
+            return self._last[1]
         try:
             known = self.spark.read.schema("bucket int, folder string, version long").parquet(f"{self.path}/manifest")
         except AnalysisException as absent:
@@ -43,8 +46,8 @@ class KeyedTable:
                 raise
             return {}
         known = known.where(F.lit(True) if before is None else F.col("version") < before)
-        last = known.agg(F.max("version")).first()[0]
-        return {r["bucket"]: r["folder"] for r in known.where(F.col("version") == last).collect() if r["folder"]} if last is not None else {}
+        held = known.groupBy("version").agg(F.collect_list(F.struct("bucket", "folder")).alias("held")).orderBy(F.desc("version")).limit(1).collect()
+        return {r["bucket"]: r["folder"] for row in held for r in row["held"] if r["folder"]}
 
     def read(self, before: int | None = None, buckets: list[int] | None = None) -> DataFrame:
         """Rows of the latest version (below ``before``), with ``bucket``; ``buckets``: of these only."""
@@ -82,15 +85,12 @@ class KeyedTable:
             return
         folder = f"{version:012d}-{uuid4().hex[:8]}"
         spread = F.pmod(F.xxhash64(*self.key, F.lit("file")), F.lit(self.files))
-        placed = self.bucketed(rows.select(*self.columns)).repartition("bucket", spread)
+        seen = Observation()
+        placed = self.bucketed(rows.select(*self.columns)).repartition("bucket", spread).observe(seen, F.collect_set("bucket").alias("written"))
+        before = self.manifest(version)
         placed.write.partitionBy("bucket").parquet(f"{self.path}/data/{folder}")
-        try:
-            written = self.spark.read.parquet(f"{self.path}/data/{folder}").select("bucket").distinct().collect()  # folder names
-        except AnalysisException as empty:
-            if empty.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
-                raise
-            written = []
-        held = {b: f for b, f in self.manifest(version).items() if b not in buckets} | {r[0]: folder for r in written}
+        held = {b: f for b, f in before.items() if b not in buckets} | {b: folder for b in seen.get["written"]}
         listed = [(b, f) for b, f in sorted(held.items())] or [(-1, None)]  # an empty table is a version as well
         out = self.spark.createDataFrame(listed, "bucket int, folder string").coalesce(1)
         out.write.mode("overwrite").parquet(f"{self.path}/manifest/version={version}")
+        self._last = version, held

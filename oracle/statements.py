@@ -644,5 +644,39 @@ S |= {
         from stg_order_items join stg_orders on stg_orders.order_id = stg_order_items.order_id group by 1""",
 }
 
-# Without a statement: the k-means figures come from an iteration.
+
+def ticket_clusters(most: int = 6, rounds: int = 50) -> str:
+    """Lloyd's rounds written out one after the other, every point compared with every center."""
+    starts = ", ".join(f"({k}, {j}, {0.1 + 0.8 * j / (k - 1)})" for k in range(2, most + 1) for j in range(k))
+    parts = [
+        """points as materialized (select customer_id, log10(greatest(cast(avg_ticket as double), 1)) as x from customer_base where avg_ticket is not null),
+        weighed as materialized (select x, count(*) as n from points group by 1)""",
+        f"r0 as (select * from (values {starts}) v(k, j, q))",
+    ]
+    spots = """select k, j, lo.x + (hi.x - lo.x) * (h - floor(h)) as c from (select *, (n - 1) * q as h from r0, (select count(*) as n from points))
+        join ranks lo on lo.r = floor(h) join ranks hi on hi.r = least(floor(h) + 1, n - 1)"""
+    parts += ["ranks as materialized (select x, row_number() over (order by x) - 1 as r from points)", f"c0 as materialized (select k, j, c, false as done from ({spots}))"]
+    for i in range(rounds):
+        parts += [
+            f"a{i} as materialized (select x, n, k, arg_min(j, (abs(x - c), j)) as j from weighed, c{i} where not done group by x, n, k)",
+            f"m{i} as materialized (select k, j, sum(n * x) / sum(n) as m from a{i} group by 1, 2)",
+            f"s{i} as (select k, bool_and(abs(coalesce(m, c) - c) <= 1e-8 + 1e-5 * abs(c)) as rest from c{i} left join m{i} using (k, j) where not done group by 1)",
+            f"""c{i + 1} as materialized (select k, j, case when done or rest then c else coalesce(m, c) end as c, done or rest as done
+                from c{i} left join m{i} using (k, j) left join s{i} using (k))""",
+        ]
+    last = f"c{rounds}"
+    # a k that is still moving is labelled by the centers before its last move
+    parts += [
+        f"label as materialized (select l.k, l.j, case when f.done then f.c else l.c end as was, f.c, f.done from c{rounds - 1} l join {last} f using (k, j))",
+        "told as (select x, n, k, arg_min(j, (abs(x - was), j)) as j from weighed, label group by x, n, k)",
+        "within as (select k, sum(n * power(x - c, 2)) as v, bool_and(done) as done from told join label using (k, j) group by k)",
+        "spread as (select sum(n * power(x - (select avg(x) from points), 2)) as total from weighed)",
+    ]
+    return f"""select * from (with {", ".join(parts)}
+        select cast(1 as bigint) as k, case when total > 0 then 0.0 end as explained_pct, true as converged from spread where total is not null
+        union all select cast(k as bigint), round(100 * (1 - v / total), 4), done from within, spread)"""
+
+
+S["an_ticket_kmeans"] = ticket_clusters()
+
 STATEMENTS = {name: with_tables(sql) for name, sql in S.items()}

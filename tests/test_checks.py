@@ -48,3 +48,51 @@ def test_rules_over_several_rows(spark):
 def test_every_column_check_is_configured():
     assert sum(map(len, dq.NOT_NULL.values())) == 96
     assert len(dq.UNIQUE) == 16 and len(dq.ACCEPTED) == 4 and len(dq.RELATIONSHIPS) == 10
+
+
+def test_report_counts_what_the_single_checks_find(spark):
+    """A small shop with a fault of every kind; each line of the report against the check it stands for."""
+    from pyspark.sql import functions as F
+
+    from bazaarlens.plans.star import Star
+
+    star = Star.from_parquet(spark, "/root/testdata/sf0.001")
+    faults = {
+        "stg_orders": lambda df: df.limit(300).unionByName(df.limit(3)).withColumn("status", F.when(F.col("order_id") % 50 == 0, "lost").otherwise(F.col("status"))),
+        "stg_sellers": lambda df: df.limit(5).withColumn("city", F.lit(None).cast("string")),
+        "stg_products": lambda df: df.filter("product_id % 7 <> 0"),
+        "stg_order_payments": lambda df: df.filter("payment_sequential <> 1 or order_id % 3 = 0").withColumn("order_id", F.when(F.col("order_id") % 11 > 0, F.col("order_id"))),
+    }
+    for name, spoil in faults.items():
+        star.replace(name, spoil(star.table(name)))
+    report = {(r.check, r.model, r.column): (r.severity, r.failing_rows, r.status) for r in dq.dq_report(star).collect()}
+    t, want = star.table, {}
+    for model in dq.NOT_NULL:
+        for rule in dq.all_row_rules(model):
+            violation = F.expr(rule.violation) if isinstance(rule.violation, str) else rule.violation
+            want[rule.check, model, rule.column] = t(model).filter(violation).count() if model in (*faults, "stg_order_reviews", "stg_order_items") else None
+    for m, n in dq.UNIQUE:
+        want["unique", m, n] = dq.check_unique(t(m), n).count() if m.startswith("stg_") else None
+    for m, *key in dq.COMPOSITE:
+        want["composite_key", m, "+".join(key)] = dq.check_unique(t(m), *key).count()
+    for m, n, ref, field in dq.RELATIONSHIPS:
+        want["relationships", m, n] = dq.check_relationship(t(m), n, t(ref), field).count() if m.startswith("stg_") else None
+    want["pay_seq", "stg_order_payments", "payment_sequential"] = dq.incomplete_sequences(t("stg_order_payments")).count()
+    want["one_review", "stg_order_reviews", "order_id"] = dq.several_reviews(t("stg_order_reviews")).count()
+    want["review_order", "stg_order_reviews", "review_id"] = dq.shared_review_ids(t("stg_order_reviews")).count()
+    want["has_payment", "stg_orders", "order_id"] = dq.unpaid_orders(t("stg_orders"), t("stg_order_payments")).count()
+    assert set(report) == set(want) and len(report) == 145
+    assert {k: report[k][1] for k, v in want.items() if v is not None} == {k: v for k, v in want.items() if v is not None}
+    assert sum(bool(v) for v in want.values()) >= 14
+    assert all(status == ("pass" if n == 0 else severity) for severity, n, status in report.values())
+
+
+def test_report_scans_each_table_once(spark):
+    from bazaarlens.plans.star import Star
+    from bazaarlens.session import write_out
+
+    star = Star.from_parquet(spark, "/root/testdata/sf0.001")
+    for model in dq.NOT_NULL:
+        star.replace(model, write_out(star.table(model).limit(5), model))
+    plan = dq.dq_report(star)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") + plan.count("Relation[") == len(dq.NOT_NULL)
