@@ -135,16 +135,20 @@ def freight_range(economics: DataFrame, s: Settings) -> DataFrame:
     )
 
 
-def freight_drivers(lines: DataFrame, s: Settings) -> DataFrame:
+def usual_items(lines: DataFrame, s: Settings) -> DataFrame:
+    """Items of known weight without outliers, with their volume."""
     usual = lines.filter(
         c("weight_g").isNotNull() & (c("price") > 0) & c("freight_value").between(0, s.dear_freight)
         & (c("weight_g") < s.heavy_weight_g)
     )
-    volume = c("length_cm") * c("height_cm") * c("width_cm") / 1000
-    return usual.agg(
+    return usual.withColumn("volume_l", c("length_cm") * c("height_cm") * c("width_cm") / 1000)
+
+
+def freight_drivers(lines: DataFrame, s: Settings) -> DataFrame:
+    return usual_items(lines, s).agg(
         row_count().alias("items"),
         rounded(correlation(c("weight_g"), c("freight_value")), 6).alias("corr_weight_freight"),
-        rounded(correlation(volume, c("freight_value")), 6).alias("corr_volume_freight"),
+        rounded(correlation(c("volume_l"), c("freight_value")), 6).alias("corr_volume_freight"),
     )
 
 

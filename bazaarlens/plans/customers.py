@@ -230,17 +230,32 @@ def runway_repeat(orders: DataFrame, lines: DataFrame, s: Settings) -> DataFrame
     return counted.groupBy("cohort").agg(rounded(share_true(c("_n") >= 2), 4).alias("repeat_pct"))
 
 
-def repeat_bars(base: DataFrame, orders: DataFrame, lines: DataFrame, s: Settings) -> DataFrame:
-    runway = runway_repeat(orders, lines, s)
-    label = F.when(c("cohort").startswith("early"), f"Consumable (>{s.runway_months}mo runway)").otherwise(
-        f"Consumable (<{s.runway_months}mo runway)"
+def repeat_bars(orders: DataFrame, lines: DataFrame, s: Settings) -> DataFrame:
+    """Repeat rate of all customers with lines, of consumable buyers, and of these with a longer and a shorter runway.
+
+    Lines and orders are read once: a written row per customer has the counts that all four bars need.
+    """
+    sold = lines.groupBy("order_id").agg(F.max(F.coalesce(c("category_name").isin(*s.consumables), F.lit(False))).alias("consumable"))
+    bought = orders.select("order_id", "customer_id", "purchased_at").join(sold, "order_id", "left")
+    people = bought.groupBy("customer_id").agg(
+        F.count("order_id").alias("orders"),
+        F.count("consumable").alias("with_lines"),
+        F.max("consumable").alias("buyer"),
+        F.min(F.when(c("consumable"), c("purchased_at"))).alias("first_at"),
+        F.max("purchased_at").alias("last_at"),
+    )
+    people = write_out(people, "customer-runways")
+    early = c("first_at") < people.agg(F.max("last_at")).scalar() - F.make_interval(months=F.lit(s.runway_months))
+    runway = F.when(early, f"Consumable (>{s.runway_months}mo runway)").otherwise(f"Consumable (<{s.runway_months}mo runway)")
+    buys = c("buyer") & c("customer_id").isNotNull()
+    bar = lambda when, group, repeat: F.when(when, F.struct(group.alias("group"), repeat.alias("repeat")))
+    bars = F.array(
+        bar(c("with_lines") > 0, F.lit("All customers"), c("with_lines") >= 2),
+        bar(buys, F.lit("Consumable buyers"), c("orders") >= 2),
+        bar(buys, runway, c("orders") >= 2),
     )
-    bars = [
-        repeat_pct(base).select(F.lit("All customers").alias("group"), "repeat_pct"),
-        consumable_repeat(orders, lines, s).select(F.lit("Consumable buyers").alias("group"), "repeat_pct"),
-        runway.select(label.alias("group"), "repeat_pct"),
-    ]
-    return reduce(DataFrame.unionByName, bars)
+    counted = people.select(F.inline(bars)).filter(c("group").isNotNull())
+    return counted.groupBy("group").agg(rounded(share_true(c("repeat")), 4).alias("repeat_pct"))
 
 
 def return_gap(orders: DataFrame) -> DataFrame:

@@ -417,6 +417,12 @@ QUERIES: dict[str, Query] = {
     "display_sample": lambda s: display_sample(
         customers.customer_base_report(s.table("customer_base")), ["customer_id"], 600
     ),
+    "display_sample_items": lambda s: display_sample(
+        categories.usual_items(s.table("product_lines"), S).select(
+            "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value", "weight_g", "volume_l"
+        ),
+        list(LINE_KEY), 8000,
+    ),
     # orders
     "an_kpi": orders_query(orders.kpi),
     "an_on_time_pct": orders_query(orders.on_time_pct),
@@ -477,9 +483,7 @@ QUERIES: dict[str, Query] = {
     "an_customer_curve": windowed_query(customers.customer_pareto_curve),
     "an_consumable_repeat": lambda s: customers.consumable_repeat(s.table("fct_orders"), s.table("product_lines"), S),
     "an_runway": lambda s: customers.runway_repeat(s.table("fct_orders"), s.table("product_lines"), S),
-    "an_repeat_bars": lambda s: customers.repeat_bars(
-        s.table("customer_base"), s.table("fct_orders"), s.table("product_lines"), S
-    ),
+    "an_repeat_bars": lambda s: customers.repeat_bars(s.table("fct_orders"), s.table("product_lines"), S),
     # categories
     "an_category_rev": window_category_money,
     "an_category_pareto": lambda s: categories.category_pareto_report(window_category_money(s)),

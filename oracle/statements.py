@@ -167,6 +167,14 @@ S |= {
     "display_sample": f"""select customer_id, cast(n_orders as bigint) as n_orders, cast(n_items as bigint) as n_items,
         cast(total_value as double) as total_value, {d('avg_ticket', 4)} as avg_ticket from customer_base
         order by md5(concat(cast(customer_id as varchar), '|', '1')), customer_id limit 600""",
+    "display_sample_items": """select i.order_id, cast(i.order_item_id as bigint) as order_item_id, i.product_id, i.seller_id,
+        cast(i.price as double) as price, cast(i.freight_value as double) as freight_value, cast(p.weight_g as bigint) as weight_g,
+        p.length_cm * p.height_cm * p.width_cm / 1000.0 as volume_l
+        from fct_order_items i join dim_products p on i.product_id = p.product_id
+        where p.weight_g is not null and i.price > 0 and i.freight_value between 0 and 2500 and p.weight_g < 12000
+        order by md5(concat_ws('|', cast(i.order_id as varchar), cast(i.order_item_id as varchar), cast(i.product_id as varchar),
+                               cast(i.seller_id as varchar), cast(i.price as varchar), '1')), i.order_id, i.order_item_id, i.product_id, i.seller_id, i.price
+        limit 8000""",
     # orders
     "an_kpi": f"""select cast(count(*) as bigint) as orders, cast(count(distinct customer_id) as bigint) as customers,
         cast(round(sum(total_payment_value), 2) as double) as revenue, {d("sum(total_payment_value) / count(total_payment_value)", 4)} as aov,
