@@ -1,14 +1,15 @@
 """Embedding near-dedup over a robust-pruned flat graph.
 
 Equal vectors of a label are one point. Points are dealt to shards: centres are a bounded sample of a label's points,
-and a point goes to the shards of its ``OVERLAP`` nearest centres. A task builds a graph on each shard: candidates of a
+thinned so that a crowd of near copies does not bring many centres that all its points are near to, and a point goes to
+the shards of its ``OVERLAP`` nearest centres. A task builds a graph on each shard: candidates of a
 point are robustly pruned, so that a kept neighbour is not much nearer to an earlier kept one than to the point. A
 point's lists from all its shards are united, and every shard gets the united lists of its points. There points are
 looked for by greedy search from the shard's medoid, also in shards whose centre is within ``ROUTE``; once the beam has reached the point's neighbourhood, the search
 goes on along every edge from points within range, until nothing within range is new. Each hit is verified in double
 precision. Shards have a bounded expected size, as the number of centres follows the number of points; a shard that
-grows beyond ``LIMIT`` (a crowd of nearly equal points) is split at random into parts that are searched one by one for
-all its points, so no hit is lost and no task holds more.
+grows beyond ``LIMIT`` (a crowd of nearly equal points) is split at random into parts, and each part is searched for the
+points of each part: no hit is lost, and no task holds more members, or asks for more points, than that.
 
 Counts of links are summed over shards; a pair that meets in two shards counts in the first of them only. For the
 components a task hands on a spanning forest of what it found, never pairs.
@@ -28,7 +29,8 @@ LEAST = 0.98
 OVERLAP = 2
 SHARD = 512  # points for each centre
 CENTRES = 4096  # most centres of a label
-LIMIT = 4096  # points of a shard that a task holds
+APART = 0.95  # of centres that are nearer to each other one is left
+LIMIT = 8192  # points of a shard that a task holds
 ROUTE = 0.82  # a point is also looked for in all shards whose centre is that near: 0.6, three times the range of 0.98
 DEGREE = 24
 ALPHA = 1.2
@@ -84,9 +86,12 @@ def range_search(vectors: np.ndarray, graph: list[np.ndarray], start: int, query
     seen[start] = True
     beam, cosine, done = np.array([start]), vectors[[start]] @ query, np.zeros(1, bool)
     while not done.all():
-        i = int(np.argmax(np.where(done, -2.0, cosine)))
-        done[i] = True
-        new = graph[beam[i]]
+        # all that is within range at once, else the best
+        open_ = np.flatnonzero(~done & (cosine >= least))
+        if not len(open_):
+            open_ = np.array([np.argmax(np.where(done, -2.0, cosine))])
+        done[open_] = True
+        new = np.unique(np.concatenate([graph[i] for i in beam[open_]]))
         new = new[~seen[new]]
         seen[new] = True
         beam, cosine = np.r_[beam, new], np.r_[cosine, vectors[new] @ query]
@@ -141,6 +146,17 @@ def _assigned(points: pa.Table, centres: pa.Table) -> pa.Table:
     )
 
 
+def _thinned(centres: pa.Table) -> pa.Table:
+    """Centres of a label without those that are close to one of a smaller hash."""
+    c = unit(np.array(centres["x"].to_pylist()))
+    order = np.lexsort((centres["rep"].to_numpy(), centres["luck"].to_numpy()))
+    kept: list[int] = []
+    for i in order.tolist():
+        if not kept or (c[kept] @ c[i]).max() < APART:
+            kept.append(i)
+    return centres.take(pa.array(kept, pa.int64())).select(["label", "dim", "rep", "x"])
+
+
 def to_shards(points: DataFrame) -> DataFrame:
     """shard, rep, route, home, x, copies, part, parts: points in the shards of their nearest centres."""
     sizes = points.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first"))
@@ -149,8 +165,11 @@ def to_shards(points: DataFrame) -> DataFrame:
     luck = F.pmod(F.xxhash64("rep", F.lit("centre")), F.lit(1 << 30)) / float(1 << 30)
     pieces = F.ceil(F.col("n") / 4096).cast("int")
     marked = marked.withColumn("pieces", pieces).withColumn("piece", F.pmod(F.xxhash64("rep"), pieces).cast("int"))
-    centres = marked.where((luck < F.col("share")) | (F.col("rep") == F.col("first")))
-    every = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("c_piece")
+    drawn = marked.where((luck < F.col("share")) | (F.col("rep") == F.col("first"))).select("label", "dim", "rep", "x", luck.alias("luck"))
+    kind = ", ".join(f"{n} {t}" for n, t in points.select("label", "dim", "rep", "x").dtypes)
+    centres = write_out(drawn.groupBy("label", "dim").applyInArrow(_thinned, kind), "centres")  # about CENTRES rows a label at most
+    every = F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / 4096).cast("int") - 1)).alias("c_piece")
+    centres = centres.join(sizes.select("label", "dim", "n"), ["label", "dim"])
     centres = centres.select(every, *[F.col(c).alias(f"c_{c}") for c in ("label", "dim", "rep", "x")])
     key = ["label", "dim", "piece"]
     kind = "shard long, rep long, route array<long>, home boolean, x array<double>, copies long"
@@ -171,8 +190,11 @@ def _searched(least: float):
         """Links of the shard's queries: (a, NULL, n) counts a query's links, (a, b, NULL) are links of a forest."""
         rep, x = table["rep"].to_numpy(), unit(np.array(table["x"].to_pylist()))
         routes, copies = table["route"].to_pylist(), table["copies"].to_numpy()
+        homes = np.array([(r * OVERLAP)[:OVERLAP] for r in routes])
         is_member = table["is_member"].to_numpy(zero_copy_only=False)
         member = np.flatnonzero(is_member)
+        if not len(member):
+            return pa.table({k: pa.array([], pa.int64()) for k in ("a", "b", "n")})
         order = member[np.argsort(rep[member])]
         names, vectors = rep[order], x[order]
         lists = table["near"].to_pylist()
@@ -183,29 +205,21 @@ def _searched(least: float):
             graph.append(at[names[at] == near])
         medoid = int(np.argmax(vectors @ vectors.mean(0)))
         shard = table["shard"][0].as_py()
-        parent = np.arange(len(rep))
-
-        def root(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = int(parent[i])
-            return i
-
+        part = np.arange(len(rep))  # the component of each row, as far as this task has seen
         counted: dict[int, int] = {}
         forest = []
         for q in np.flatnonzero(table["is_query"].to_numpy(zero_copy_only=False)).tolist():
             hits = order[range_search(vectors, graph, medoid, x[q], least)]
-            mine, n = routes[q], 0
-            for h in hits[rep[hits] != rep[q]].tolist():
-                other = routes[h][:OVERLAP]
-                if next(s for s in mine if s in other) == shard:  # a pair counts in the first shard that has both
-                    n += int(copies[h])
-                a, b = root(q), root(h)
-                if a != b:
-                    parent[a] = b
-                    forest.append((int(rep[q]), int(rep[h])))
+            hits = hits[rep[hits] != rep[q]]
+            earlier = routes[q][: routes[q].index(shard)]  # a pair counts in the first shard that has both
+            n = int(copies[hits[~np.isin(homes[hits], earlier).any(1)]].sum()) if earlier else int(copies[hits].sum())
             if n:
                 counted[int(rep[q])] = counted.get(int(rep[q]), 0) + n
+            kinds, at = np.unique(part[hits], return_index=True)
+            for kind, h in zip(kinds.tolist(), hits[at].tolist(), strict=True):
+                if kind != part[q]:
+                    forest.append((int(rep[q]), int(rep[h])))
+                    part[part == kind] = part[q]
         rows = [(a, None, n) for a, n in counted.items()] + [(a, b, None) for a, b in forest]
         return pa.table({k: pa.array([r[i] for r in rows], pa.int64()) for i, k in enumerate(("a", "b", "n"))})
 
@@ -228,9 +242,12 @@ def near_dedup(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     graph = shards.where("home").groupBy("shard", "part").applyInArrow(_built, "rep long, near array<long>")
     united = write_out(graph.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
     members = shards.join(united, "rep")
-    flags = [(F.col("home") & (F.col("part") == F.col("to"))).alias("is_member"), F.lit(True).alias("is_query")]
-    asked = members.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("to")).select("*", *flags)
-    found = asked.groupBy("shard", "to").applyInArrow(_searched(least), "a long, b long, n long")
+    # a row asks in a task for each part, and is a member in a task for each asking part; in its own part it is both
+    each = F.sequence(F.lit(0), F.col("parts") - 1)
+    asks = F.transform(each, lambda t: F.struct(F.col("part").alias("by"), t.alias("to"), F.lit(True).alias("is_query")))
+    lies = F.transform(F.filter(each, lambda b: F.col("home") & (b != F.col("part"))), lambda b: F.struct(b.alias("by"), F.col("part").alias("to"), F.lit(False).alias("is_query")))
+    asked = members.select("*", F.inline(F.concat(asks, lies))).withColumn("is_member", F.col("home") & (F.col("part") == F.col("to")))
+    found = asked.groupBy("shard", "by", "to").applyInArrow(_searched(least), "a long, b long, n long")
     found = write_out(found, "found-links")
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
     near = write_out(components(found.where("b is not null"), "vectors"), "vector-components")

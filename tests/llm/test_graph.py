@@ -56,7 +56,41 @@ def test_links_and_components(spark, crowded, monkeypatch, limit):
     assert sum(made[k][1] != there[k][1] for k in there) <= 0.02 * len(there)
 
 
-def test_recall_of_the_query_is_audited(spark, sf_dir):
+def planted(n, dim=64, seed=11):
+    """Vectors around random directions: pairs, chains and groups whose cosines lie on both sides of the threshold."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    near = n // 4
+    of = rng.integers(near, n, near)
+    of[: near // 4] = rng.integers(near, near + n // 100, near // 4)  # larger groups
+    noise = rng.normal(size=(near, dim))
+    noise /= np.sqrt((noise * noise).sum(1, keepdims=True))
+    x[:near] = x[of] + noise * rng.uniform(0.02, 0.25, (near, 1))
+    x[: near // 8] = x[near // 8 : near // 4] + 0.15 * noise[: near // 8]  # chains
+    return [(int(i), row.tolist(), int(i) % 3 if i >= near else int(of[i]) % 3) for i, row in enumerate(x)]
+
+
+def test_recall_of_planted_links(spark):
+    frame = spark.createDataFrame(planted(9000), KIND).repartition(8)
+    result = flat_graph.near_dedup(frame)
+    found, there = flat_graph.audit(frame, result, every=10).first()
+    assert there > 200 and 0.95 * there <= found <= there
+
+
+def test_a_crowd_makes_rows_in_proportion(spark):
+    """Near copies of one vector: rows in shards and answers follow their number, and every pair is counted."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=32)
+    rows = [(i, (base + 0.02 * rng.normal(size=32)).tolist(), 0) for i in range(3000)]
+    frame = spark.createDataFrame(rows, KIND)
+    points = frame.selectExpr("label", "embedding x", "vec_id rep", "1L copies", "size(embedding) dim")
+    assert flat_graph.to_shards(points).count() <= 2 * len(rows)
+    made = flat_graph.near_dedup(frame).collect()
+    assert {(r.n_links, r.component_id) for r in made} == {(2999, 0)}
+
+
+def test_query_covers_the_table(spark, sf_dir):
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     result = QUERIES["op5_flat_graph"](spark, sf_dir)
     assert result.count() == vectors.count()
