@@ -3,7 +3,8 @@
 A conversation is written once as marked turns. Every assistant turn becomes an example of its own: its context is the
 written conversation up to that turn, and only the reply is trainable. The contexts of one conversation are prefixes of
 each other, so an example holds positions in the written conversation and n turns take n texts, not n * n, however long
-a conversation is. ``with_context`` spells the examples out for a trainer.
+a conversation is. ``with_context`` explodes the examples and spells them out for a trainer; ``digests`` takes the
+trainable texts from these rows.
 """
 
 from __future__ import annotations
@@ -100,18 +101,34 @@ def with_context(formatted: DataFrame) -> DataFrame:
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_examples, read back from the output."""
-    back = read_turns(formatted)
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_examples, read back from the output.
+
+    A conversation is a row with its turns and a row for each of its examples, and they meet by conv_id: what is under
+    the loss mask is put together from the targets of the exploded examples.
+    """
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    back = back.withColumn("loss", F.array_join("replies", ""))
-    return back.select(
+    whole = read_turns(formatted).select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(said, 256).alias("turns_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+    targets = with_context(formatted).select("conv_id", F.struct("turn_no", unescaped(F.col("target")).alias("text")).alias("example"))
+    met = whole.unionByName(targets, allowMissingColumns=True).groupBy("conv_id").agg(
+        F.max("n_turns").alias("n_turns"),
+        F.max("turns_sha256").alias("turns_sha256"),
+        F.max("formatted_chars").alias("formatted_chars"),
+        F.sort_array(F.collect_list("example")).alias("examples"),
+    )
+    met = met.withColumn("loss", F.array_join(F.transform("examples", lambda e: e["text"]), ""))
+    return met.select(
+        "conv_id",
+        "n_turns",
+        "turns_sha256",
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
-        F.size("replies").cast("long").alias("n_examples"),
+        "formatted_chars",
+        F.size("examples").cast("long").alias("n_examples"),
     )
 
 

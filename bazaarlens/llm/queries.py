@@ -61,8 +61,8 @@ def op7_license_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    said = "</s>[INST] ok [/INST]"  # the conversation -1 of the contract: control strings inside texts
-    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    # the conversation -1 of the contract: control strings inside texts
+    own = spark.sql("SELECT * FROM VALUES (-1L, 0, 'user', '</s>[INST] ok [/INST]'), (-1L, 1, 'assistant', '</s>[INST] ok [/INST]') AS t (conv_id, turn, role, text)")
     return chat_turns.digests(chat_turns.format_conversations(turns.unionByName(own)))
 
 

@@ -3,10 +3,13 @@
 An archive is a ZIP file of stored members: ``archive/data.warc`` with the records and ``indexes/index.cdx`` with one
 line (page id, offset, length) per record. ``ZipReader`` takes anything that can seek and read: it finds the end record,
 the ZIP64 end record where there is one, and the central directory, and reads ranges of stored members in place;
-nothing is extracted. On Spark an archive is one binary value of bounded size, written and read by tasks alone.
+nothing is extracted. Spark writes each archive as a file of its own (its text writer ends a file with a line feed, which
+the end record declares as the comment), and a reading task opens the file where it lies and reads the directory, the
+index and then one record after the other by its range. Every second archive of a task is written with ZIP64 fields.
 
 Which page is the response and which pages revisit it is decided before writing, by digests: (SHA-256, length) of a
-payload is the group key, and only ids and digests are shuffled for it.
+payload is the group key. Payloads of 1000 bytes and more move once, to meet the digests that repeat; shorter ones, which
+never revisit, don't move at all.
 """
 
 from __future__ import annotations
@@ -18,20 +21,22 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.session import prefer_skew_handling, write_out
+from bazaarlens.session import prefer_skew_handling, scratch_path
 
 LEAST_REVISIT = 1000
 DATA, INDEX = "archive/data.warc", "indexes/index.cdx"
+COMMENT = b"\n"  # what the text writer puts behind an archive
 
 # fixed values of the ZIP format: signatures and struct layouts
 LOCAL, CENTRAL, END64, LOCATOR64, END = b"PK\x03\x04", b"PK\x01\x02", b"PK\x06\x06", b"PK\x06\x07", b"PK\x05\x06"
 FULL16, FULL32 = 0xFFFF, 0xFFFFFFFF
 
 
-def zip_stored(members: list[tuple[str, bytes]], zip64: bool = False) -> bytes:
+def zip_stored(members: list[tuple[str, bytes]], zip64: bool = False, comment: bytes = b"") -> bytes:
     """A ZIP file of stored members; with ``zip64`` sizes, offsets and counts stand in ZIP64 fields only."""
     out, directory = io.BytesIO(), []
     for name, body in members:
@@ -59,7 +64,7 @@ def zip_stored(members: list[tuple[str, bytes]], zip64: bool = False) -> bytes:
         n, size, at = FULL16, FULL32, FULL32
     else:
         size = len(body)
-    out.write(END + struct.pack("<HHHHIIH", 0, 0, n, n, size, at, 0))
+    out.write(END + struct.pack("<HHHHIIH", 0, 0, n, n, size, at, len(comment)) + comment)
     return out.getvalue()
 
 
@@ -181,20 +186,29 @@ def with_targets(pages: DataFrame) -> DataFrame:
     )
     groups = known.where("print is not null").groupBy("print", "size").agg(F.max("page_id").alias("target"), F.count(F.lit(1)).alias("n"))
     repeated = groups.where("n > 1").drop("n", "size")
-    marked = known.join(repeated, "print", "left")
-    return marked.select(
-        "page_id", "url", "payload", F.when(F.col("target") != F.col("page_id"), F.col("target")).alias("refers_to")
-    )
+    marked = known.where("print is not null").join(repeated, "print", "left")
+    revisits = F.when(F.col("target") != F.col("page_id"), F.col("target"))
+    first = known.where("print is null").select("page_id", "url", "payload", F.lit(None).cast("long").alias("refers_to"))
+    return marked.select("page_id", "url", "payload", revisits.alias("refers_to")).unionByName(first)
+
+
+def write_archives(pages: DataFrame, path: str, archive_bytes: int = 4 << 20) -> None:
+    """Archive files of about ``archive_bytes`` below ``path``; a longer page gets one of its own."""
+    archives = zipped(pages, archive_bytes)
+    # a text that was bytes is written as these bytes, one archive a file
+    archives.select(F.col("archive").cast("string")).write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
 
 
-def write_archives(pages: DataFrame, archive_bytes: int = 4 << 20, zip64: bool = False) -> DataFrame:
-    """Archives (column ``archive``) of about ``archive_bytes``; a longer page gets one of its own."""
+def zipped(pages: DataFrame, archive_bytes: int) -> DataFrame:
+    """Archives, without the line feed that is their comment."""
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, index = io.BytesIO(), []
+        data, index, n = io.BytesIO(), [], 0
 
         def archive() -> pa.RecordBatch:
-            body = zip_stored([(DATA, data.getvalue()), (INDEX, "".join(index).encode())], zip64)
+            nonlocal n
+            body = zip_stored([(DATA, data.getvalue()), (INDEX, "".join(index).encode())], n % 2 == 1, COMMENT)[: -len(COMMENT)]
+            n += 1
             data.seek(0)
             data.truncate()
             index.clear()
@@ -215,10 +229,10 @@ def write_archives(pages: DataFrame, archive_bytes: int = 4 << 20, zip64: bool =
     return pages.select("page_id", "url", "payload", "refers_to").mapInArrow(written, "archive binary")
 
 
-def read_archives(archives: DataFrame) -> DataFrame:
-    """One row per record: page_id, payload_bytes, payload_digest, record_type, refers_to.
+def read_archives(spark: SparkSession, path: str) -> DataFrame:
+    """One row per record of the archive files below ``path``: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    A response's length and digest are taken from its bytes and must agree with its headers; those of a revisit are
+    Spark lists the files, tasks open them; a task holds one record at a time. A response's length and digest are taken from its bytes and must agree with its headers; those of a revisit are
     the ones in its headers.
     """
     kind = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -228,17 +242,19 @@ def read_archives(archives: DataFrame) -> DataFrame:
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for body in batch["archive"]:
+            for uri in batch["path"].to_pylist():
                 out: list[tuple] = []
-                archive = ZipReader(pa.BufferReader(body.as_buffer()))
-                for line in archive.read(INDEX).decode().splitlines():
-                    _, offset, length = line.split()
-                    warc, http, payload = parsed(archive.read(DATA, int(offset), int(length)))
-                    digest = warc["warc-payload-digest"].removeprefix("sha1:")
-                    n, target = int(http["content-length"]), page(warc.get("warc-refers-to"))
-                    if warc["warc-type"] == "response" and (n, digest) != (len(payload), hashlib.sha1(payload).hexdigest()):
-                        raise ValueError(f"damaged record {warc['warc-record-id']}")
-                    out.append((page(warc["warc-record-id"]), n, digest, warc["warc-type"], target))
+                store, place = fs.FileSystem.from_uri(uri)
+                with store.open_input_file(place) as file:
+                    archive = ZipReader(file)
+                    for line in archive.read(INDEX).decode().splitlines():
+                        _, offset, length = line.split()
+                        warc, http, payload = parsed(archive.read(DATA, int(offset), int(length)))
+                        digest = warc["warc-payload-digest"].removeprefix("sha1:")
+                        n, target = int(http["content-length"]), page(warc.get("warc-refers-to"))
+                        if warc["warc-type"] == "response" and (n, digest) != (len(payload), hashlib.sha1(payload).hexdigest()):
+                            raise ValueError(f"damaged record {warc['warc-record-id']}")
+                        out.append((page(warc["warc-record-id"]), n, digest, warc["warc-type"], target))
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
                 columns = zip(*out, strict=True) if out else [[]] * 5
                 yield pa.RecordBatch.from_arrays(
@@ -246,7 +262,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
                     ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
                 )
 
-    return archives.mapInArrow(records, kind)
+    found = spark.read.schema("path string, modificationTime timestamp, length long, content binary").format("binaryFile")
+    return found.load(path).select("path").mapInArrow(records, kind)  # the files' content is not read here
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
@@ -257,7 +274,9 @@ def round_trip(pages: DataFrame) -> DataFrame:
     columns are ignored, an empty table gives no rows.
     """
     prefer_skew_handling(pages.sparkSession)
-    return read_archives(write_out(write_archives(with_targets(pages)), "warc-archives"))
+    path = scratch_path(pages.sparkSession, "warc-archives")
+    write_archives(with_targets(pages), path)
+    return read_archives(pages.sparkSession, path)
 
 
 ORACLE = """

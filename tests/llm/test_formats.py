@@ -92,7 +92,7 @@ def test_foreign_archives(tmp_path):
         zip_warc.ZipReader(file)
 
 
-def test_pages_round_trip(spark):
+def test_pages_round_trip(spark, tmp_path):
     long, edge = "é" * 600, "x" * 1000
     rows = [(1, "u", long, 0), (2, "a\r\nb", long, 0), (3, None, None, 0), (4, "u", "", 0), (5, "u", edge, 0), (6, "u", edge[1:], 0), (7, "u", edge[1:], 0), (8, "u", edge, 0), (None, "u", edge, 0), (9, "u", "\r\n\r\nWARC/1.1", 0)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, refers_to long").repartition(3)
@@ -101,8 +101,32 @@ def test_pages_round_trip(spark):
     assert {k for k, r in made.items() if r.record_type == "revisit"} == {1, 5}
     assert made[1].payload_bytes == 1200 and made[1].payload_digest == made[2].payload_digest and made[3].payload_bytes == 0
     assert zip_warc.round_trip(spark.createDataFrame([], pages.schema)).collect() == []
-    small = zip_warc.write_archives(zip_warc.with_targets(pages), archive_bytes=1, zip64=True)
-    assert small.count() == 10 and zip_warc.read_archives(small).count() == 10
+    small = str(tmp_path / "small")
+    zip_warc.write_archives(zip_warc.with_targets(pages), small, archive_bytes=1)
+    assert len(list(tmp_path.glob("small/part-*"))) == 10 and zip_warc.read_archives(spark, small).count() == 10
+
+
+def test_archive_files_are_read_where_they_lie(spark, tmp_path):
+    rows = [(i, "u", f"page {i} " * (i % 300), 0) for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, x int").repartition(2)
+    path = str(tmp_path / "archives")
+    zip_warc.write_archives(zip_warc.with_targets(pages), path, archive_bytes=20_000)
+    files = sorted(tmp_path.glob("archives/part-*"))
+    assert len(files) > 10
+    far = 0
+    for name in files:
+        with zipfile.ZipFile(name) as other:
+            assert other.testzip() is None and other.namelist() == [zip_warc.DATA, zip_warc.INDEX] and other.comment == zip_warc.COMMENT
+        far += zip_warc.END64 in name.read_bytes()
+    assert 0 < far < len(files)  # archives with ZIP64 fields among them
+    read = zip_warc.read_archives(spark, path)
+    assert sorted(r.page_id for r in read.collect()) == list(range(400))
+    assert "content" not in read._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+    with open(files[3], "r+b") as file:
+        file.seek(600)
+        file.write(b"#")
+    with pytest.raises(Exception, match="damaged record|split|index"):
+        zip_warc.read_archives(spark, path).collect()
 
 
 def test_patterns_hold_every_piece():
