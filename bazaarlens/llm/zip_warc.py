@@ -196,7 +196,7 @@ def write_archives(pages: DataFrame, path: str, archive_bytes: int = 4 << 20) ->
     """Archive files of about ``archive_bytes`` below ``path``; a longer page gets one of its own."""
     archives = zipped(pages, archive_bytes)
     # a text that was bytes is written as these bytes, one archive a file
-    archives.select(F.col("archive").cast("string")).write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
+    archives.select(F.col("archive").cast("string")).write.option("maxRecordsPerFile", 1).option("lineSep", "\n").option("compression", "none").text(path)
 
 
 def zipped(pages: DataFrame, archive_bytes: int) -> DataFrame:
