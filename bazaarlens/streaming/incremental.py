@@ -26,8 +26,12 @@ MONEY = "decimal(38,6)"
 
 
 def drops(spark: SparkSession, folder: str, schema: str, kind: str = "parquet", files: int | None = None) -> DataFrame:
-    """The files of a folder as a stream; at most ``files`` of them in a batch."""
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{kind}*")
+    """The files of a folder, which must be there, as a stream; at most ``files`` of them in a batch.
+
+    A file counts as new by its name, however old it is: by default a stream passes over one that is a week older than
+    the latest.
+    """
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFileAge", "3650d").option("pathGlobFilter", f"*.{kind}*")
     reader = reader.option("header", True) if kind == "csv" else reader
     reader = reader.option("maxFilesPerTrigger", files) if files else reader
     return reader.format(kind).load(folder)
