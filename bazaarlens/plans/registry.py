@@ -95,7 +95,8 @@ def raw_profile(star: Star) -> DataFrame:
 def namespace_tables(star: Star) -> DataFrame:
     spark, namespace, _ = loaded_namespace(star, "orders")
     catalog.ensure_namespace(spark, namespace)
-    listed = spark.sql(f"SHOW TABLES IN {namespace}").select(c("tableName").alias("table_name"))  # run at once
+    shown = spark.sql(f"SHOW TABLES IN {namespace}").filter(~c("isTemporary"))  # run at once; views of the session are no tables
+    listed = shown.select(c("tableName").alias("table_name"))
     spark.sql(f"DROP DATABASE {namespace} CASCADE")
     return listed
 

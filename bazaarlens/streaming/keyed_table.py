@@ -44,6 +44,7 @@ class KeyedTable:
         except AnalysisException as absent:
             if absent.getCondition() != "PATH_NOT_FOUND":
                 raise
+            self._last = -1, {}
             return {}
         known = known.where(F.lit(True) if before is None else F.col("version") < before)
         held = known.groupBy("version").agg(F.collect_list(F.struct("bucket", "folder")).alias("held")).orderBy(F.desc("version")).limit(1).collect()
