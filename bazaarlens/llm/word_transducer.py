@@ -258,7 +258,7 @@ class WordBpe:
 class Encoder:
     """Encodes batches of texts: lexicon for frequent words, merges for the rest, a bounded memo for both.
 
-    What is known of a part of text is (ids,) or, with ``shown``, (ids, number, ids as text, tokens as text).
+    What is known of a part of text is (ids,) or, with ``shown``, (ids, number, ids as text, tokens as text), both in UTF-8.
     """
 
     def __init__(self, bpe: WordBpe, lexicon: Transducer, shown: bool = False):
@@ -267,7 +267,7 @@ class Encoder:
         self.special = {s: self.known((i,)) for s, i in bpe.special.items()}
 
     def known(self, ids: tuple[int, ...]) -> tuple:
-        return (ids, len(ids), " ".join([str(i) for i in ids]), self.bpe.decode(ids)) if self.shown else (ids,)
+        return (ids, len(ids), " ".join(map(str, ids)).encode(), self.bpe.decode(ids).encode()) if self.shown else (ids,)
 
     def ids_of(self, words: list[str]) -> list[tuple[int, ...]]:
         raw = [w.encode() for w in words]
@@ -414,8 +414,8 @@ def encode(docs: DataFrame, tokenizer_json: str, lexicon: str, digests: bool = F
             rows: list[tuple[int, str, str]] = []
             texts = [t or "" for t in batch["text"].to_pylist()]
             for parts in encoder().encode(texts):
-                ids, decoded = (" ".join([p[i] for p in parts]).encode() for i in (2, 3))
-                rows.append((sum([p[1] for p in parts]), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+                _, n, ids, decoded = zip(*parts) if parts else ((),) * 4
+                rows.append((sum(n), hashlib.sha256(b" ".join(ids)).hexdigest(), hashlib.sha256(b" ".join(decoded)).hexdigest()))
             columns = zip(*rows, strict=True) if rows else ([], [], [])
             kinds = (pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
