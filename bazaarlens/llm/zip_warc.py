@@ -1,7 +1,7 @@
 """WARC records in ZIP-packaged archives, read back by ranges.
 
-An archive is a ZIP file of stored members: ``archive/data.warc`` with the records and ``indexes/index.cdx`` with one
-line (page id, offset, length) per record. ``ZipReader`` takes anything that can seek and read: it finds the end record,
+An archive is a ZIP file of stored members: ``archive/data.warc.gz`` with the records, each a gzip member of its own, and
+``indexes/index.cdx`` with one line (page id, offset, length) per record. ``ZipReader`` takes anything that can seek and read: it finds the end record,
 the ZIP64 end record where there is one, and the central directory, and reads ranges of stored members in place;
 nothing is extracted. Spark writes each archive as a file of its own (its text writer ends a file with a line feed, which
 the end record declares as the comment), and a reading task opens the file where it lies and reads the directory, the
@@ -14,6 +14,7 @@ never revisit, don't move at all.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import io
 import struct
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from bazaarlens.session import prefer_skew_handling, scratch_path
 
 LEAST_REVISIT = 1000
-DATA, INDEX = "archive/data.warc", "indexes/index.cdx"
+DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
+LEVEL = 1  # of compression
 COMMENT = b"\n"  # what the text writer puts behind an archive
 
 # fixed values of the ZIP format: signatures and struct layouts
@@ -218,7 +220,7 @@ def zipped(pages: DataFrame, archive_bytes: int) -> DataFrame:
             ids, urls, targets = (batch[c].to_pylist() for c in ("page_id", "url", "refers_to"))
             for page, url, payload, target in zip(ids, urls, batch["payload"], targets, strict=True):
                 refers = None if target is None else str(target)
-                record = warc_record("" if page is None else str(page), url or "", payload.as_py(), refers)
+                record = gzip.compress(warc_record("" if page is None else str(page), url or "", payload.as_py(), refers), LEVEL, mtime=0)
                 index.append(f"{'-' if page is None else page} {data.tell()} {len(record)}\n")
                 data.write(record)
                 if data.tell() >= archive_bytes:
@@ -249,7 +251,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     archive = ZipReader(file)
                     for line in archive.read(INDEX).decode().splitlines():
                         _, offset, length = line.split()
-                        warc, http, payload = parsed(archive.read(DATA, int(offset), int(length)))
+                        warc, http, payload = parsed(gzip.decompress(archive.read(DATA, int(offset), int(length))))
                         digest = warc["warc-payload-digest"].removeprefix("sha1:")
                         n, target = int(http["content-length"]), page(warc.get("warc-refers-to"))
                         if warc["warc-type"] == "response" and (n, digest) != (len(payload), hashlib.sha1(payload).hexdigest()):

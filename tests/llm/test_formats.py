@@ -110,7 +110,7 @@ def test_archive_files_are_read_where_they_lie(spark, tmp_path):
     rows = [(i, "u", f"page {i} " * (i % 300), 0) for i in range(400)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, x int").repartition(2)
     path = str(tmp_path / "archives")
-    zip_warc.write_archives(zip_warc.with_targets(pages), path, archive_bytes=20_000)
+    zip_warc.write_archives(zip_warc.with_targets(pages), path, archive_bytes=3_000)
     files = sorted(tmp_path.glob("archives/part-*"))
     assert len(files) > 10
     far = 0
@@ -123,9 +123,9 @@ def test_archive_files_are_read_where_they_lie(spark, tmp_path):
     assert sorted(r.page_id for r in read.collect()) == list(range(400))
     assert "content" not in read._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
     with open(files[3], "r+b") as file:
-        file.seek(600)
+        file.seek(300)
         file.write(b"#")
-    with pytest.raises(Exception, match="damaged record|split|index"):
+    with pytest.raises(Exception, match="damaged record|CRC|decompress|gzip|header|stream"):
         zip_warc.read_archives(spark, path).collect()
 
 
