@@ -12,12 +12,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from pathlib import Path
 from uuid import uuid4
 
 import numpy as np
@@ -26,6 +24,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaarlens.llm.shipping import shared_file
 from bazaarlens.session import write_out
 
 # fixed value: white space of the pre-tokenizer's pattern (Unicode White_Space)
@@ -101,10 +100,10 @@ class Transducer:
         arrays["ids"] = np.array([i for w in ordered for i in words[w]], np.int64)
         return cls(arrays)
 
-    def save(self, path: str) -> None:
+    def packed(self) -> bytes:
         """All arrays are 64-bit integers: a header of their lengths, then one after the other."""
         arrays = [np.asarray(getattr(self, n), np.int64) for n in self.NAMES]
-        np.concatenate([np.array([len(a) for a in arrays], np.int64), *arrays]).tofile(path)
+        return np.concatenate([np.array([len(a) for a in arrays], np.int64), *arrays]).tobytes()
 
     @classmethod
     def mapped(cls, path: str) -> Transducer:
@@ -381,11 +380,8 @@ def lexicon_file(docs: DataFrame, tokenizer_json: str, n: int) -> str:
     bpe = WordBpe(tokenizer_json)
     words = [w.encode() for w in frequent_words(docs, tokenizer_json, n)]
     lexicon = Transducer.compiled(dict(zip(words, bpe.merge(words), strict=True)))
-    path = Path(tempfile.mkdtemp(prefix="lexicon-"))  # the driver's copy, which Spark serves to executors
-    lexicon.save(str(path / "lexicon"))
     name = f"lexicon-{uuid4().hex}"
-    (path / "lexicon").rename(path / name)
-    docs.sparkSession.sparkContext.addFile(str(path / name))
+    docs.sparkSession.sparkContext.addFile(shared_file(docs.sparkSession, name, lexicon.packed()))
     return name
 
 

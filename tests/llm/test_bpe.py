@@ -29,7 +29,7 @@ def test_automaton_gives_ranks_and_shares_endings():
 
 def test_memory_mapped_lexicon_is_the_compiled_one(tmp_path):
     words = {b"a": (1,), b"ab": (2, 3), b"b": (4, 5, 6)}
-    W.Transducer.compiled(words).save(str(tmp_path / "lexicon"))
+    (tmp_path / "lexicon").write_bytes(W.Transducer.compiled(words).packed())
     mapped = W.Transducer.mapped(str(tmp_path / "lexicon"))
     ranks = mapped.ranks(sorted(words)).tolist()
     assert [tuple(mapped.ids[mapped.starts[r] : mapped.starts[r + 1]].tolist()) for r in ranks] == [words[w] for w in sorted(words)]
