@@ -149,6 +149,8 @@ class WordBpe:
         self.end = made["model"]["end_of_word_suffix"]
         self.token = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         pattern = made["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.id_text = {i: str(i).encode() for i in self.token}
+        self.token_text = {i: t.encode() for i, t in self.token.items()}
         self.words_of = regex.compile(pattern).findall
         self.ascii_words_of = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), re.ASCII).findall
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split
@@ -257,16 +259,15 @@ class WordBpe:
 class Encoder:
     """Encodes batches of texts: lexicon for frequent words, merges for the rest, a bounded memo for both.
 
-    What is known of a part of text is (ids,) or, with ``shown``, (ids, number, ids as text, tokens as text), both in UTF-8.
+    What is known of a part of text is (ids,); with ``shown`` its ids as text in ``memo`` and its tokens as text in
+    ``tokens``, both in UTF-8 and joined by one space. Special strings are always known.
     """
 
     def __init__(self, bpe: WordBpe, lexicon: Transducer, shown: bool = False):
         self.bpe, self.lexicon, self.shown = bpe, lexicon, shown
-        self.memo: dict[str, tuple] = {}
-        self.special = {s: self.known((i,)) for s, i in bpe.special.items()}
-
-    def known(self, ids: tuple[int, ...]) -> tuple:
-        return (ids, len(ids), " ".join(map(str, ids)).encode(), self.bpe.decode(ids).encode()) if self.shown else (ids,)
+        self.memo: dict[str, tuple | bytes] = {}
+        self.tokens: dict[str, bytes] = {}
+        self.add(list(bpe.special), [[s] for s in bpe.special], {s: (i,) for s, i in bpe.special.items()})
 
     def ids_of(self, words: list[str]) -> list[tuple[int, ...]]:
         raw = [w.encode() for w in words]
@@ -279,32 +280,54 @@ class Encoder:
             out[i] = made
         return out
 
+    def add(self, pieces: list[str], words_of: list[list[str]], ids: dict[str, tuple[int, ...]]) -> None:
+        """Remember parts of text by their words' ids."""
+        if not self.shown:
+            for piece, words in zip(pieces, words_of, strict=True):
+                self.memo[piece] = (ids[words[0]] if len(words) == 1 else tuple([i for w in words for i in ids[w]]),)
+            return
+        for memo, text in ((self.memo, self.bpe.id_text), (self.tokens, self.bpe.token_text)):
+            find, join = text.__getitem__, b" ".join
+            of = {w: find(own[0]) if len(own) == 1 else join(map(find, own)) for w, own in ids.items()}
+            for piece, words in zip(pieces, words_of, strict=True):
+                memo[piece] = of[words[0]] if len(words) == 1 else join([of[w] for w in words])
+
     def learn(self, pieces: set[str]) -> None:
         """Remember parts of text; a full memo keeps those that the present texts hold."""
         new = list(pieces - self.memo.keys())
         if len(self.memo) + len(new) > MEMO:
-            self.memo = {p: self.memo[p] for p in pieces & self.memo.keys()}
+            kept = (pieces | self.bpe.special.keys()) & self.memo.keys()
+            self.memo = {p: self.memo[p] for p in kept}
+            self.tokens = {p: self.tokens[p] for p in kept} if self.shown else {}
         words_of = [self.bpe.words(p) for p in new]
         distinct = list({w for words in words_of for w in words})
-        ids = dict(zip(distinct, self.ids_of(distinct), strict=True))
-        for piece, words in zip(new, words_of, strict=True):
-            self.memo[piece] = self.known(ids[words[0]] if len(words) == 1 else tuple([i for w in words for i in ids[w]]))
+        self.add(new, words_of, dict(zip(distinct, self.ids_of(distinct), strict=True)))
 
-    def encode(self, texts: list[str]) -> Iterator[list[tuple]]:
-        """For each text what is known of its parts, in order; special strings are parts of their own."""
+    def parts_of(self, texts: list[str]) -> Iterator[list[list[str]]]:
+        """The parts of each text of a group, all of them learnt; special strings are parts of their own."""
         special, cut = self.bpe.special, self.bpe.cut_special
         for group in _in_groups(texts, 1 << 20):
             split: list[list[str]] = []
             for text in group:
                 if any(s in text for s in special):
-                    parts = [p for i, part in enumerate(cut(text)) for p in ([part] if i % 2 else self.bpe.pieces(part))]
-                    split.append([p for p in parts if p])
+                    pieces = [p for i, part in enumerate(cut(text)) for p in ([part] if i % 2 else self.bpe.pieces(part))]
                 else:
-                    split.append(self.bpe.pieces(text))
-            self.learn(set().union(*split) - special.keys() - {""})
-            find = (self.memo | self.special if any(not special.keys().isdisjoint(p) for p in split) else self.memo).__getitem__
+                    pieces = self.bpe.pieces(text)
+                split.append(pieces if all(pieces) else list(filter(None, pieces)))
+            self.learn(set().union(*split))
+            yield split
+
+    def encode(self, texts: list[str]) -> Iterator[list[tuple]]:
+        """For each text what is known of its parts, in order."""
+        for split in self.parts_of(texts):
+            for parts in split:
+                yield [self.memo[p] for p in parts]
+
+    def encode_shown(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """For each text its ids as text and its tokens as text."""
+        for split in self.parts_of(texts):
             for parts in split:
-                yield list(map(find, filter(None, parts)))
+                yield b" ".join([self.memo[p] for p in parts]), b" ".join([self.tokens[p] for p in parts])
 
 
 def _in_groups(texts: list[str], characters: int) -> Iterator[list[str]]:
@@ -409,9 +432,9 @@ def encode(docs: DataFrame, tokenizer_json: str, lexicon: str, digests: bool = F
         for batch in batches:
             rows: list[tuple[int, str, str]] = []
             texts = [t or "" for t in batch["text"].to_pylist()]
-            for parts in encoder().encode(texts):
-                _, n, ids, decoded = zip(*parts) if parts else ((),) * 4
-                rows.append((sum(n), hashlib.sha256(b" ".join(ids)).hexdigest(), hashlib.sha256(b" ".join(decoded)).hexdigest()))
+            for ids, decoded in encoder().encode_shown(texts):
+                n = ids.count(b" ") + 1 if ids else 0
+                rows.append((n, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
             columns = zip(*rows, strict=True) if rows else ([], [], [])
             kinds = (pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
