@@ -188,7 +188,8 @@ def pack(docs: DataFrame, tokenizer_json: str, size: int = 2048, end_id: int = 1
     placed = spark.createDataFrame(
         slots(shortest_pack_first(histogram, size)), "length long, low long, high long, sequence long, offset long"
     )
-    ranked = cut.join(bases.drop("n"), ["length", "task"]).withColumn("rank", F.col("base") + F.col("nth"))
+    # ranks grow with the tasks: they are merged in, not broadcast; a key holds pieces of one task
+    ranked = cut.join(bases.drop("n").hint("merge"), ["length", "task"]).withColumn("rank", F.col("base") + F.col("nth"))
     inside = (ranked["length"] == placed["length"]) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
     # slots depend on the sequence length, not on the number of documents
     return ranked.join(F.broadcast(placed), inside).select(
