@@ -237,11 +237,11 @@ def predict(docs: DataFrame, tagger: ByteTagger | None) -> DataFrame:
     return marked.mapInArrow(tagged, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, tagger: ByteTagger | None, languages: set[str] | None = None, least: float = 0.0) -> DataFrame:
+def accepted(docs: DataFrame, tagger: ByteTagger | None, languages: set[str] | None = None, least: float = 0.0, relabel: bool = False) -> DataFrame:
     """The rows whose text gets a language, among ``languages`` if given, with a score of ``least`` or more.
 
     A text that is NULL or has no letter is rejected. Where there is a string column ``lang``, a row that has none gets the
-    predicted one; nothing else changes. If nothing was learned, nothing is rejected but texts without a letter, and
+    predicted one, and with ``relabel`` every row does; nothing else changes. If nothing was learned, nothing is rejected but texts without a letter, and
     ``lang`` stays as it is.
     """
     at = docs.columns.index("lang") if tagger and dict(docs.dtypes).get("lang") == "string" else None
@@ -252,7 +252,8 @@ def accepted(docs: DataFrame, tagger: ByteTagger | None, languages: set[str] | N
                 langs, scores = _labelled(batch["text"], tagger or ByteTagger([""]))
                 good = [lang != UNKNOWN and (not tagger or ((languages is None or lang in languages) and score >= least)) for lang, score in zip(langs, scores.tolist(), strict=True)]
                 if at is not None:
-                    filled = pa.compute.coalesce(batch["lang"], pa.array(langs, batch["lang"].type))
+                    told = pa.array(langs, batch["lang"].type)
+                    filled = told if relabel else pa.compute.coalesce(batch["lang"], told)
                     batch = batch.set_column(at, "lang", filled)
                 yield batch.filter(pa.array(good, pa.bool_()))
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.session import write_out
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task int, nth long"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task int, nth long, part string"
 MEMO = 400_000  # remembered words of a Python worker; a full memo is emptied
 # fixed value: white space of the pattern below (Unicode White_Space)
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -104,8 +104,8 @@ class WordCoder:
 _coders: dict[int, WordCoder] = {}
 
 
-def pieces(docs: DataFrame, tokenizer_json: str, size: int, end_id: int) -> DataFrame:
-    """One row per piece with its number among the pieces of its length in the same task."""
+def pieces(docs: DataFrame, tokenizer_json: str, size: int, end_id: int, by: str | None = None) -> DataFrame:
+    """One row per piece with its number among the pieces of its part (value of ``by``) and length in the same task."""
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # one vocabulary file, about 2 MB
     end = end_id.to_bytes(4, "little")
 
@@ -114,21 +114,22 @@ def pieces(docs: DataFrame, tokenizer_json: str, size: int, end_id: int) -> Data
         coder = _coders.get(key) or _coders.setdefault(key, WordCoder(shared.value))
         task, seen = TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
-            rows: list[list] = [[] for _ in range(7)]
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+            rows: list[list] = [[] for _ in range(8)]
+            for doc_id, text, part in zip(batch["doc_id"].to_pylist(), batch["text"], batch["part"].to_pylist(), strict=True):
                 ids = coder.encode(text.as_py() or "") + end
                 total = len(ids) // 4
                 for start in range(0, total, size):
                     own = ids[4 * start : 4 * (start + size)]
                     n = len(own) // 4
-                    for column, value in zip(rows, (doc_id, start, n, zlib.crc32(own), total, task, seen[n]), strict=True):
+                    for column, value in zip(rows, (doc_id, start, n, zlib.crc32(own), total, task, seen[part, n], part), strict=True):
                         column.append(value)
-                    seen[n] += 1
-            kinds = [pa.int64()] * 5 + [pa.int32(), pa.int64()]
+                    seen[part, n] += 1
+            kinds = [pa.int64()] * 5 + [pa.int32(), pa.int64(), pa.string()]
             names = [c.split()[0] for c in PIECES.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
+    part = F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")
+    return docs.select(F.col("doc_id").cast("long"), "text", part.alias("part")).mapInArrow(cut, PIECES)
 
 
 def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:
@@ -171,27 +172,35 @@ def slots(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, i
     return rows
 
 
-def pack(docs: DataFrame, tokenizer_json: str, size: int = 2048, end_id: int = 1) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+def pack(docs: DataFrame, tokenizer_json: str, size: int = 2048, end_id: int = 1, by: str | None = None) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ``by`` if it is given.
 
     Sequences are numbered from 0 without gaps; a trainer pads each to ``size``, except where its length is a power of
     two. NULL and empty texts are one end id. Rows with a NULL or a repeated doc_id are packed like any other, other
     columns are ignored, an empty table gives no rows. Which of two pieces of one length comes first depends on the
-    order of tasks and rows, nothing else does.
+    order of tasks and rows, nothing else does. A sequence holds documents of one value of the column ``by`` only, which
+    should have few; NULL counts as empty text.
     """
     spark = docs.sparkSession
-    cut = write_out(pieces(docs, tokenizer_json, size, end_id), "packing-pieces")
-    per_task = cut.groupBy("length", "task").agg((F.max("nth") + 1).alias("n"))
-    order = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    cut = write_out(pieces(docs, tokenizer_json, size, end_id, by), "packing-pieces")
+    per_task = cut.groupBy("part", "length", "task").agg((F.max("nth") + 1).alias("n"))
+    order = Window.partitionBy("part", "length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = write_out(per_task.withColumn("base", F.coalesce(F.sum("n").over(order), F.lit(0))), "packing-bases")
-    histogram = {r["length"]: r["n"] for r in bases.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # <= size rows
-    placed = spark.createDataFrame(
-        slots(shortest_pack_first(histogram, size)), "length long, low long, high long, sequence long, offset long"
-    )
+    histograms: dict[str, dict[int, int]] = defaultdict(dict)
+    for r in bases.groupBy("part", "length").agg(F.sum("n").alias("n")).collect():  # <= size rows for each part
+        histograms[r["part"]][r["length"]] = r["n"]
+    placed = []
+    begun = 0  # sequences of the parts before
+    for part, histogram in sorted(histograms.items()):
+        patterns = shortest_pack_first(histogram, size)
+        placed += [(part, length, low, high, begun + sequence, offset) for length, low, high, sequence, offset in slots(patterns)]
+        begun += sum(copies for _, copies in patterns)
+    placed = spark.createDataFrame(placed, "part string, length long, low long, high long, sequence long, offset long")
     # ranks grow with the tasks: they are merged in, not broadcast; a key holds pieces of one task
-    ranked = cut.join(bases.drop("n").hint("merge"), ["length", "task"]).withColumn("rank", F.col("base") + F.col("nth"))
-    inside = (ranked["length"] == placed["length"]) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
-    # slots depend on the sequence length, not on the number of documents
+    ranked = cut.join(bases.drop("n").hint("merge"), ["part", "length", "task"]).withColumn("rank", F.col("base") + F.col("nth"))
+    same = (ranked["part"] == placed["part"]) & (ranked["length"] == placed["length"])
+    inside = same & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
+    # slots depend on the sequence length and the parts, not on the number of documents
     return ranked.join(F.broadcast(placed), inside).select(
         "doc_id",
         "start",
@@ -200,4 +209,5 @@ def pack(docs: DataFrame, tokenizer_json: str, size: int = 2048, end_id: int = 1
         "doc_tokens",
         (F.col("sequence") + F.col("rank") - F.col("low")).alias("sequence_id"),
         "offset",
+        *([ranked["part"].alias(by)] if by else []),
     )

@@ -25,10 +25,11 @@ def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; texts that are NULL or have no letter go. A NULL ``lang`` gets the predicted
-    one. Documents without a column ``lang`` have nothing to learn from: then only texts without a letter go."""
+    """Documents in which a language is found; texts that are NULL or have no letter go. ``lang`` becomes the language told
+    from the text, by which packing deals documents to sequences. Documents without a column ``lang`` have nothing to
+    learn from: then only texts without a letter go."""
     ship(spark)
-    return byte_gru.accepted(docs, byte_gru.fit(docs))
+    return byte_gru.accepted(docs, byte_gru.fit(docs), relabel=True)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,9 +66,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 ids."""
+    """Sequences of at most 2048 ids, each of documents of one language where language ID has told it."""
     ship(spark)
-    return pattern_packing.pack(docs, vocabulary("byte_bpe_50k.json"))
+    return pattern_packing.pack(docs, vocabulary("byte_bpe_50k.json"), by="lang" if "lang" in docs.columns else None)
 
 
 STAGES: list[tuple[str, Stage]] = [

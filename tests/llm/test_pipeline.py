@@ -63,3 +63,20 @@ def test_exact_dedup_keeps_by_id_and_text(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = corpus_pipeline.exact_dedup(spark, docs, "").collect()
     assert sorted(map(tuple, kept), key=repr) == sorted([(3, "one two "), (9, "x y z "), (None, "other"), (7, "mo re")], key=repr)
+
+
+def test_language_id_decides_which_documents_share_a_sequence(spark, stages):
+    """A sequence holds one language, the one told from the text, also where the given label was missing or wrong."""
+    _, before, after = stages[0]
+    spoilt = before.selectExpr("doc_id", "text", "if(doc_id % 5 = 0, if(doc_id % 2 = 0, null, 'xx'), lang) AS lang", "source", "n_chars")
+    told = corpus_pipeline.language_id(spark, spoilt, "")
+    given, found = ({r.doc_id: r.lang for r in df.collect()} for df in (before, told))
+    changed = [d for d in found if d % 10 == 0]
+    assert sum(found[d] == given[d] for d in changed) >= 0.8 * len(changed) > 0
+    packed = corpus_pipeline.packing(spark, after, "").collect()
+    language = {r.doc_id: r.lang for r in after.collect()}
+    mixed = {}
+    for r in packed:
+        mixed.setdefault(r.sequence_id, set()).add(language[r.doc_id])
+        assert r.lang == language[r.doc_id]
+    assert all(len(own) == 1 for own in mixed.values()) and len(set.union(*mixed.values())) > 1
