@@ -96,3 +96,10 @@ def test_report_scans_each_table_once(spark):
         star.replace(model, write_out(star.table(model).limit(5), model))
     plan = dq.dq_report(star)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") + plan.count("Relation[") == len(dq.NOT_NULL)
+
+
+def test_key_check_takes_more_tasks_for_more_rows(spark):
+    df = frame(spark, "a int, b int", (1, 1), (1, 1), (2, 1), (None, 1), (None, 1))
+    found = dq.check_unique(df, "a", "b", rows=20 * dq.KEYS_PER_TASK)
+    assert table(found) == [(1, 1, 2)]
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString() and found.rdd.getNumPartitions() == 21
