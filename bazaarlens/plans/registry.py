@@ -284,6 +284,9 @@ LINE_KEY = ("order_id", "order_item_id", "product_id", "seller_id", "price")
 SECOND_DROP = "1999-01-01"  # orders bought from here on come with the second drop
 
 
+LINES_PER_BUCKET = 1_000_000  # a task sorts a bucket in memory
+
+
 def order_drop(star: Star) -> DataFrame:
     person = star.table("stg_customers").select("customer_id", c("customer_unique_id").alias("person"))
     bought = star.table("stg_orders").join(person, "customer_id")
@@ -310,7 +313,8 @@ def incremental_summaries(star: Star) -> DataFrame:
     """Customer and seller summary after two drops of orders and items."""
     spark = star.raw("orders").sparkSession
     folder = scratch_path(spark, "drops")
-    shop = incremental.Shop(spark, scratch_path(spark, "shop"), item_key=LINE_KEY)
+    buckets = max(16, star.raw("order_items").count() // LINES_PER_BUCKET)
+    shop = incremental.Shop(spark, scratch_path(spark, "shop"), buckets=buckets, item_key=LINE_KEY)
     for n, (some, items) in enumerate(zip(two_drops(order_drop(star)), two_drops(item_drop(star)), strict=True)):
         deliver(some, f"{folder}/orders", f"drop-{n}")
         deliver(items, f"{folder}/items", f"drop-{n}")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.columns import row_count
+from bazaarlens.session import write_out
 from bazaarlens.streaming.keyed_table import GONE, KeyedTable
 
 c = F.col
@@ -92,24 +93,34 @@ class Shop:
         orders, items = (self.raw(name).where(c("batch") == batch).drop("batch") for name in ("orders", "items"))
         orders, items = orders.where("order_id is not null"), items.dropna(subset=[*self.item_key, "seller_id"])
 
+        begun = bool(self.orders.manifest(batch) or self.lines.manifest(batch))  # else all that is stored comes with this batch
         self.lines.merge(items, batch)
         self.orders.merge(orders, batch)
         ids = orders.select("order_id").unionByName(items.select("order_id")).distinct()
-        held = self.orders.touched(ids)
-        now = self.orders.read(buckets=held).join(ids, "order_id", "left_semi").drop("bucket")
-        lines = self.lines.read(buckets=held).join(ids, "order_id", "left_semi")
-        per_seller = lines.groupBy("seller_id", "order_id").agg(
+        held = self.orders.touched(ids) if begun else None
+
+        def of_batch(table: KeyedTable, before: int | None = None) -> DataFrame:
+            rows = table.read(before, held)
+            return rows.join(ids, "order_id", "left_semi") if begun else rows
+
+        per_seller = of_batch(self.lines).groupBy("seller_id", "order_id").agg(
             row_count().alias("items"),
             F.sum("price").cast(MONEY).alias("revenue"),
             F.sum("freight_value").cast(MONEY).alias("freight"),
         )
+        per_seller = write_out(per_seller, "batch-lines")  # an order's rows lie in one file, so they are summed below the shuffle
         value = per_seller.groupBy("order_id").agg(
             F.sum(F.coalesce("revenue", F.lit(0)) + F.coalesce("freight", F.lit(0))).cast(MONEY).alias("order_value")
         )
-        bought = now.join(value, "order_id", "left").withColumn("order_value", F.coalesce("order_value", F.lit(0).cast(MONEY)))
+        bought = of_batch(self.orders).drop("bucket", "status").join(value, "order_id", "left")
+        bought = bought.withColumn("order_value", F.coalesce("order_value", F.lit(0).cast(MONEY)))
         # an order that has come to another customer leaves the one it was with
-        was = self.orders.read(batch, held).join(ids, "order_id", "left_semi").select("order_id", c("customer_id").alias("was"))
-        moved = bought.join(was, "order_id").where("was <> customer_id or customer_id is null and was is not null")
+        if begun:
+            bought = bought.join(of_batch(self.orders, batch).select("order_id", c("customer_id").alias("was")), "order_id", "left")
+        else:
+            bought = bought.withColumn("was", F.lit(None).cast("string"))
+        bought = write_out(bought, "batch-orders")
+        moved = bought.where("was <> customer_id or customer_id is null and was is not null")
         moved = moved.select(c("was").alias("customer_id"), "order_id", "purchased_at", "order_value", F.lit(True).alias(GONE))
         bought = bought.where("customer_id is not null").select(*self.customer_orders.columns, F.lit(False).alias(GONE))
         self._summed(self.customer_orders, bought.unionByName(moved), self.customers, batch, [

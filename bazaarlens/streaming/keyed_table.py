@@ -68,28 +68,35 @@ class KeyedTable:
     def merge(self, changes: DataFrame, version: int) -> list[int]:
         """Put the changes in place of what has their keys; returns the touched buckets.
 
-        Of changes with one key the largest row counts, one that is ``gone`` before all others.
+        Of changes with one key the largest row counts, one that is ``gone`` before all others. The changes are read
+        twice, so they should be a written table. Old rows and changes are shuffled once, to the files they end in, and
+        meet there.
         """
         if GONE not in changes.columns:
             changes = changes.withColumn(GONE, F.lit(False))
         others = [c for c in self.columns if c not in self.key]
-        one = changes.groupBy(*self.key).agg(F.max(F.struct(GONE, *others)).alias("last")).select(*self.key, f"last.{GONE}", *[f"last.{c}" for c in others])
         touched = self.touched(changes)
         if touched:
-            rest = self.read(version, touched).drop("bucket").join(one.select(*self.key), self.key, "left_anti")
-            self.replace(touched, rest.select(*self.columns).unionByName(one.where(~F.col(GONE)).select(*self.columns)), version)
+            old = self.read(version, touched).select(*self.columns, F.lit(False).alias(GONE), F.lit(False).alias("fresh"))
+            both = old.unionByName(changes.select(*self.columns, GONE, F.lit(True).alias("fresh")))
+            last = self._dealt(both, touched).groupBy("bucket", "file", *self.key).agg(F.max(F.struct("fresh", GONE, *others)).alias("last"))
+            self.replace(touched, last.where(~F.col(f"last.{GONE}")).select(*self.key, *[f"last.{c}" for c in others], "bucket"), version, True)
         return touched
 
-    def replace(self, buckets: list[int], rows: DataFrame, version: int) -> None:
-        """Make ``rows`` all that these buckets hold."""
+    def _dealt(self, rows: DataFrame, buckets: list[int]) -> DataFrame:
+        """Rows at the task that writes their file."""
+        spread = F.pmod(F.xxhash64(*self.key, F.lit("file")), F.lit(self.files))
+        return self.bucketed(rows).withColumn("file", spread).repartition(len(buckets) * self.files, "bucket", "file")
+
+    def replace(self, buckets: list[int], rows: DataFrame, version: int, dealt: bool = False) -> None:
+        """Make ``rows`` all that these buckets hold; ``dealt``: they have their ``bucket`` and lie where it is written."""
         if not buckets:
             return
+        placed = rows if dealt else self._dealt(rows.select(*self.columns), buckets).drop("file")
         folder = f"{version:012d}-{uuid4().hex[:8]}"
-        spread = F.pmod(F.xxhash64(*self.key, F.lit("file")), F.lit(self.files))
         seen = Observation()
-        placed = self.bucketed(rows.select(*self.columns)).repartition("bucket", spread).observe(seen, F.collect_set("bucket").alias("written"))
         before = self.manifest(version)
-        placed.write.partitionBy("bucket").parquet(f"{self.path}/data/{folder}")
+        placed.observe(seen, F.collect_set("bucket").alias("written")).write.partitionBy("bucket").parquet(f"{self.path}/data/{folder}")
         held = {b: f for b, f in before.items() if b not in buckets} | {b: folder for b in seen.get["written"]}
         listed = [(b, f) for b, f in sorted(held.items())] or [(-1, None)]  # an empty table is a version as well
         out = self.spark.createDataFrame(listed, "bucket int, folder string").coalesce(1)

@@ -157,3 +157,16 @@ def test_items_delivered_twice_count_once(spark, tmp_path, deliver):
     taken = spark.read.schema(incremental.ITEMS).parquet(path)
     assert table(taken.drop("batch")) == sorted([tuple(float(v) if isinstance(v, Decimal) else v for v in r) for r in ITEMS], key=repr)
     assert dropped >= 1  # the last one came more than 30 days late
+
+
+def test_a_merge_shuffles_rows_once_and_sorts_them_once(spark, tmp_path, monkeypatch):
+    held = KeyedTable(spark, f"{tmp_path}/t", "k string, v string, w string", ["k"], buckets=3)
+    held.merge(spark.createDataFrame([(str(k), "a", "b") for k in range(50)], "k string, v string, w string"), 0)
+    plans = []
+    replace = held.replace
+    monkeypatch.setattr(held, "replace", lambda buckets, rows, *rest: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), replace(buckets, rows, *rest)))
+    changes = spark.createDataFrame([("7", "x", None), ("99", None, None)], "k string, v string, w string")
+    assert len(held.merge(changes, 1)) == 2 or len(held.manifest()) == 3
+    assert plans[0].count("Exchange") == 1 and plans[0].count("Sort [") == 1
+    rows = {r.k: (r.v, r.w) for r in held.rows().collect()}
+    assert len(rows) == 51 and rows["7"] == ("x", None) and rows["99"] == (None, None) and rows["8"] == ("a", "b")
