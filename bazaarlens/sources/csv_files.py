@@ -11,11 +11,10 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarlens.session import write_out
 from bazaarlens.sources.catalog import ensure_namespace, write_table
 from bazaarlens.sources.schemas import FILE_ENDINGS, RAW_SCHEMAS
 
@@ -115,17 +114,20 @@ def read_csv_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def load_raw(spark: SparkSession, folder: str, namespace: str, location: str | None = None) -> dict[str, Loaded]:
     """Replace the raw tables by the files of ``folder``; rows written and refused per table.
 
-    The text is parsed once, into scratch; good and refused rows are split from there.
-    Refused rows are kept in ``<table>_refused`` with the values that don't fit; the table is there only if it has rows.
+    The text is parsed once, straight into the table, and refused rows are counted on the way. They are kept in
+    ``<table>_refused`` with the values that don't fit; only if there are any, the text is parsed again for them.
     """
     ensure_namespace(spark, namespace, location)
     loaded = {}
     for table, paths in find_csv_files(spark, folder).items():
-        checked = write_out(checked_csv_table(spark, table, paths), f"{table}-checked")
-        written = write_table(checked.where(F.col(REFUSED).isNull()).drop(REFUSED), f"{namespace}.{table}")
+        checked = checked_csv_table(spark, table, paths)
+        seen = Observation(f"refused of {table}")
+        counted = checked.observe(seen, F.count_if(F.col(REFUSED).isNotNull()).alias("refused"))
+        written = write_table(counted.where(F.col(REFUSED).isNull()).drop(REFUSED), f"{namespace}.{table}")
         spark.sql(f"DROP TABLE IF EXISTS {namespace}.{table}_refused")
-        bad = checked.where(F.col(REFUSED).isNotNull())
-        refused = 0 if bad.isEmpty() else write_table(bad, f"{namespace}.{table}_refused")
+        refused = seen.get["refused"]
+        if refused:
+            write_table(checked.where(F.col(REFUSED).isNotNull()), f"{namespace}.{table}_refused")
         if refused:
             print(f"{table}: {refused} rows refused, kept in {namespace}.{table}_refused")
         loaded[table] = Loaded(written, refused)

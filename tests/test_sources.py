@@ -80,3 +80,17 @@ def test_window_reaches_the_scan_of_orders(spark):
         plan = registry.run(name, spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
         pushed = [line for line in plan.splitlines() if "PushedFilters" in line and "o_orderdate" in line]
         assert any("GreaterThan(o_orderdate" in line and "LessThan(o_orderdate" in line for line in pushed), name
+
+
+def test_a_load_writes_the_text_once(spark, tmp_path, monkeypatch):
+    """A drop without refused rows is parsed once and written once; every column of a short row is looked at."""
+    head = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+    (tmp_path / "sellers_dataset.csv").write_text(head + "a,1,x,SP\nb,2,y,RJ\n")
+    written, write_table = [], csv_files.write_table
+    monkeypatch.setattr(csv_files, "write_table", lambda df, name: (written.append(df), write_table(df, name))[1])
+    place = scratch_path(spark, "raw-once")
+    assert csv_files.load_raw(spark, str(tmp_path), "raw_once", place) == {"sellers": (2, 0)}
+    assert len(written) == 1 and all(p.endswith("sellers_dataset.csv") for p in written[0].inputFiles())
+    (tmp_path / "sellers_dataset.csv").write_text(head + "a,1,x,SP\nb,2\n")
+    assert csv_files.load_raw(spark, str(tmp_path), "raw_once", place) == {"sellers": (1, 1)}
+    assert len(written) == 3 and spark.table("raw_once.sellers_refused").count() == 1
