@@ -103,3 +103,19 @@ def test_key_check_takes_more_tasks_for_more_rows(spark):
     found = dq.check_unique(df, "a", "b", rows=20 * dq.KEYS_PER_TASK)
     assert table(found) == [(1, 1, 2)]
     assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString() and found.rdd.getNumPartitions() == 21
+
+
+def test_report_sorts_no_entries(spark):
+    from bazaarlens.plans.star import Star
+    from bazaarlens.session import write_out
+
+    star = Star.from_parquet(spark, "/root/testdata/sf0.001")
+    for model in dq.NOT_NULL:
+        star.replace(model, write_out(star.table(model).limit(5), model))
+    schema = star.table("stg_order_reviews").schema
+    rows = [(n, o, 5, None, None, None, None) for n, o in ((1, 1), (1, 2), (2, 3), (2, 3), (None, 4), (None, 5), (3, None), (3, 7))]
+    star.replace("stg_order_reviews", spark.createDataFrame(rows, schema))
+    report = dq.dq_report(star)
+    assert "SortAggregate" not in report._jdf.queryExecution().executedPlan().toString()
+    (found,) = report.where("check = 'review_order'").collect()
+    assert found.failing_rows == dq.shared_review_ids(star.table("stg_order_reviews")).count() == 2
