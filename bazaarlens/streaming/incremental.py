@@ -50,7 +50,7 @@ def run_new(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoin
 
 def write_batch(rows: DataFrame, path: str, batch: int) -> None:
     """File the rows of a batch under its number; once more, if it runs once more."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/batch={batch}")
 
 
 class Shop:

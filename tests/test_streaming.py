@@ -6,6 +6,8 @@ from pathlib import Path
 
 import pytest
 
+from bazaarlens.plans import registry
+from bazaarlens.plans.star import Star
 from bazaarlens.streaming import incremental
 from bazaarlens.streaming.keyed_table import KeyedTable
 from tests.helpers import table
@@ -170,3 +172,13 @@ def test_a_merge_shuffles_rows_once_and_sorts_them_once(spark, tmp_path, monkeyp
     assert plans[0].count("Exchange") == 1 and plans[0].count("Sort [") == 1
     rows = {r.k: (r.v, r.w) for r in held.rows().collect()}
     assert len(rows) == 51 and rows["7"] == ("x", None) and rows["99"] == (None, None) and rows["8"] == ("a", "b")
+
+
+def test_redelivered_lines_meet_their_orders_once(spark, monkeypatch):
+    plans = []
+    deliver = registry.deliver
+    monkeypatch.setattr(registry, "deliver", lambda df, *where: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), deliver(df, *where)))
+    sold = registry.redelivered_items(Star.from_parquet(spark, "/root/testdata/sf0.001"))
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    assert sum(r["items"] for r in sold.collect()) == lines.count()
+    assert sum("Join" in p for p in plans) == 1 and sum("Join" not in p for p in plans) == 3
