@@ -6,7 +6,7 @@ AQE re-plans the rest from measured sizes, splitting a hot key of the fact side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.columns import days_between, indicator, ratio, rounded
@@ -161,7 +161,7 @@ def mart_customer_summary(orders: DataFrame) -> DataFrame:
     )
 
 
-def seller_order_lines(lines: DataFrame) -> DataFrame:
+def seller_order_lines(lines: DataFrame, *more: Column) -> DataFrame:
     """Lines summed per seller and order: the weight an order has in item-grain averages is ``line_rows``."""
     return lines.groupBy("seller_id", "order_id").agg(
         F.count(F.lit(1)).alias("line_rows"),
@@ -169,6 +169,7 @@ def seller_order_lines(lines: DataFrame) -> DataFrame:
         F.sum("price").alias("price_sum"),
         F.count("price").alias("priced"),
         F.sum("freight_value").alias("freight_sum"),
+        *more,
     )
 
 
@@ -180,29 +181,29 @@ def weighted_avg(value: str, weight: str):
 def mart_seller_performance(lines: DataFrame, orders: DataFrame, sellers: DataFrame) -> DataFrame:
     """Per seller, item-grain averages (an order counts once per line); a seller without lines has no row.
 
-    Lines shrink to seller and order before the join, which also turns the distinct order count into a plain count.
+    Lines meet their order and shrink to seller and order where they meet, so both shuffle by order once, and the
+    distinct order count is a plain count.
     The distinct (seller, category) pairs enter the same final aggregation as rows of their own, instead of an
     expansion of every line or a join of two per-seller tables.
     """
     facts = orders.select("order_id", "delivery_time_days", "review_score", "is_valid_delivery", "is_delivered_on_time")
-    per_order = seller_order_lines(lines).join(facts, "order_id", "left")
+    sold = lines.select("seller_id", "order_id", "order_item_id", "price", "freight_value")
+    per_order = seller_order_lines(
+        sold.join(facts, "order_id", "left"),
+        *[f for n in ("delivery_time_days", "review_score") for f in (F.sum(n).alias(f"{n}_sum"), F.count(n).alias(f"{n}_known"))],
+        F.count_if("is_delivered_on_time").alias("on_time"),
+        F.count("is_valid_delivery").alias("judged"),
+    )
     kinds = lines.select("seller_id", "category_name").distinct()
-    weight = c("line_rows")
     per_seller = per_order.unionByName(kinds, allowMissingColumns=True).groupBy("seller_id").agg(
         F.count("order_id").alias("total_orders"),
         F.sum("items").alias("total_items_sold"),
         F.round(F.sum("price_sum"), 2).alias("total_revenue"),
         rounded(ratio(F.sum("price_sum"), F.sum("priced")), 2).alias("avg_item_price"),
         F.round(F.sum("freight_sum"), 2).alias("total_freight_charged"),
-        rounded(weighted_avg("delivery_time_days", "line_rows"), 1).alias("avg_delivery_time_days"),
-        rounded(
-            ratio(
-                F.sum(F.when(c("is_delivered_on_time"), weight).otherwise(0)),
-                F.sum(F.when(c("is_valid_delivery").isNotNull(), weight).otherwise(0)),
-            ),
-            2,
-        ).alias("on_time_delivery_rate"),
-        rounded(weighted_avg("review_score", "line_rows"), 2).alias("avg_review_score"),
+        rounded(ratio(F.sum("delivery_time_days_sum"), F.sum("delivery_time_days_known")), 1).alias("avg_delivery_time_days"),
+        rounded(ratio(F.sum("on_time"), F.sum("judged")), 2).alias("on_time_delivery_rate"),
+        rounded(ratio(F.sum("review_score_sum"), F.sum("review_score_known")), 2).alias("avg_review_score"),
         F.count("category_name").alias("distinct_categories"),
     )
     return per_seller.join(sellers.select("seller_id", "city", "state"), "seller_id", "left").select(

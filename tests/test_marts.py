@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.plans import marts
 from bazaarlens.plans.star import Star
+from bazaarlens.sources.parquet_tables import MAPPINGS
 from tests.helpers import frame, table
 
 
@@ -107,3 +108,29 @@ def test_written_marts_equal_composed_ones(star, spark):
     written = Star(star._raw).write_marts()
     for name in ("fct_orders", "mart_seller_performance", "mart_customer_summary", "dim_customers"):
         assert table(written.table(name)) == table(star.table(name))
+
+
+def test_sellers_read_the_written_item_fact(spark):
+    star = Star.from_parquet(spark, "/root/testdata/sf0.001")
+    composed = table(star.table("mart_seller_performance"))
+    star = Star.from_parquet(spark, "/root/testdata/sf0.001")
+    plans = {}
+
+    def sink(name, df):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return df.localCheckpoint()
+
+    star.write_marts(sink)
+    assert table(star.table("mart_seller_performance")) == composed and composed
+    assert "l_orderkey" in plans["fct_order_items"] and "l_orderkey" not in plans["mart_seller_performance"]
+
+
+def test_payments_of_lines_are_hashed_and_follow_the_least_flag(spark):
+    lines = spark.createDataFrame(
+        [(1, f, n) for n, flags in enumerate(("NA", "RN", "R", "NB", "0A", (None, "N"), (None,), ("A", "A"))) for f in flags],
+        "l_orderkey long, l_returnflag string, l_linenumber int",
+    ).selectExpr("*", "1d as l_quantity", "10d as l_extendedprice", "0.1d as l_tax")
+    paid = spark.sql(MAPPINGS["order_payments"], lineitem=lines)
+    kinds = ["credit_card", "boleto", "voucher", "voucher", "voucher", "boleto", "voucher", "credit_card"]
+    assert table(paid, "payment_sequential", "payment_type") == list(enumerate(kinds))
+    assert "SortAggregate" not in paid._jdf.queryExecution().executedPlan().toString()
