@@ -9,6 +9,7 @@ are merged exactly, also many at once. Decoding turns ids into their tokens.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -288,9 +289,8 @@ class Encoder:
             return
         for memo, text in ((self.memo, self.bpe.id_text), (self.tokens, self.bpe.token_text)):
             find, join = text.__getitem__, b" ".join
-            of = {w: find(own[0]) if len(own) == 1 else join(map(find, own)) for w, own in ids.items()}
-            for piece, words in zip(pieces, words_of, strict=True):
-                memo[piece] = of[words[0]] if len(words) == 1 else join([of[w] for w in words])
+            of = {w: join(map(find, own)) for w, own in ids.items()}
+            memo.update(zip(pieces, [of[words[0]] if len(words) == 1 else join([of[w] for w in words]) for words in words_of], strict=True))
 
     def learn(self, pieces: set[str]) -> None:
         """Remember parts of text; a full memo keeps those that the present texts hold."""
@@ -299,9 +299,15 @@ class Encoder:
             kept = (pieces | self.bpe.special.keys()) & self.memo.keys()
             self.memo = {p: self.memo[p] for p in kept}
             self.tokens = {p: self.tokens[p] for p in kept} if self.shown else {}
-        words_of = [self.bpe.words(p) for p in new]
-        distinct = list({w for words in words_of for w in words})
-        self.add(new, words_of, dict(zip(distinct, self.ids_of(distinct), strict=True)))
+        collecting = gc.isenabled()
+        gc.disable()  # many small lists, none in a cycle: the collector would only walk through them
+        try:
+            words_of = [self.bpe.words(p) for p in new]
+            distinct = list({w for words in words_of for w in words})
+            self.add(new, words_of, dict(zip(distinct, self.ids_of(distinct), strict=True)))
+        finally:
+            if collecting:
+                gc.enable()
 
     def parts_of(self, texts: list[str]) -> Iterator[list[list[str]]]:
         """The parts of each text of a group, all of them learnt; special strings are parts of their own."""
@@ -327,7 +333,7 @@ class Encoder:
         """For each text its ids as text and its tokens as text."""
         for split in self.parts_of(texts):
             for parts in split:
-                yield b" ".join([self.memo[p] for p in parts]), b" ".join([self.tokens[p] for p in parts])
+                yield b" ".join(map(self.memo.__getitem__, parts)), b" ".join(map(self.tokens.__getitem__, parts))
 
 
 def _in_groups(texts: list[str], characters: int) -> Iterator[list[str]]:

@@ -79,3 +79,20 @@ def test_long_words_merge_as_short_ones_and_as_the_library(made):
     (ids,) = bpe.merge([text.encode()])
     assert list(ids) == library.encode(text, add_special_tokens=False).ids
     assert W.Transducer.compiled({b"ab": (1,)}).ranks([text.encode(), b"ab"]).tolist() == [-1, 0]
+
+
+def test_the_collector_rests_while_parts_are_learnt():
+    import gc
+
+    import public_tokenizers
+
+    from bazaarlens.llm import word_transducer
+
+    with open(public_tokenizers.path("word_bpe_49k.json")) as file:
+        bpe = word_transducer.WordBpe(file.read())
+    words, seen = bpe.words, []
+    bpe.words = lambda piece: (seen.append(gc.isenabled()), words(piece))[1]
+    encoder = word_transducer.Encoder(bpe, word_transducer.Transducer.compiled({}), shown=True)
+    ((ids, decoded),) = encoder.encode_shown(["Two parts"])
+    assert seen == [False, False] and gc.isenabled()
+    assert [bpe.token[int(i)].encode() for i in ids.split()] == decoded.split(b" ")
