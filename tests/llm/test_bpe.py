@@ -96,3 +96,47 @@ def test_the_collector_rests_while_parts_are_learnt():
     ((ids, decoded),) = encoder.encode_shown(["Two parts"])
     assert seen == [False, False] and gc.isenabled()
     assert [bpe.token[int(i)].encode() for i in ids.split()] == decoded.split(b" ")
+
+
+def test_parts_end_at_the_pattern_s_white_space(made):
+    import re
+
+    import pyarrow as pa
+
+    bpe, _ = made
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    odd = [c for c in every if bpe.odd_space(c)]
+    for signs in (odd, [c for c in every if c not in odd]):
+        parts, begin = bpe.parts(pa.array([f"a{c}b" for c in signs], pa.large_string()))
+        cut = [c for c, n in zip(signs, np.diff(begin).tolist(), strict=True) if n == 2]
+        assert cut == [c for c in signs if re.match(f"[{W.SPACE}]", c)]
+        assert len(parts) == len(signs) + len(cut)
+
+
+def test_a_full_memo_and_small_groups_change_no_result(made, monkeypatch):
+    bpe, library = made
+    monkeypatch.setattr(W, "MEMO", 20)
+    monkeypatch.setattr(W, "GROUP", 40, raising=False)
+    rng = np.random.default_rng(2)
+    words = ["the", "The,", "cat", "don't", "ñandú", "ΑΣ", "x" * 300, "<|endoftext|>", "12", "\x1c", "中文"]
+    texts = ODD + ["".join(w + s for w, s in zip(rng.choice(words, 12), rng.choice([" ", "", "\n ", "\u3000"], 12), strict=True)) for _ in range(200)]
+    texts += [" ".join("".join(rng.choice(list("etaoin"), 6)) for _ in range(30)) for _ in range(20)]
+    frequent = [b"the", b"cat", b"dont"]
+    lexicon = W.Transducer.compiled(dict(zip(frequent, bpe.merge(frequent), strict=True)))
+    own, shown = W.Encoder(bpe, lexicon), W.Encoder(bpe, lexicon, shown=True)
+    both = zip(texts, own.encode(texts), shown.encode_shown(texts), strict=True)
+    for text, parts, (ids, decoded) in both:
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert [i for p in parts for i in p[0]] == expected, text
+        assert (ids, decoded) == (" ".join(map(str, expected)).encode(), library.decode(expected, skip_special_tokens=False).encode()), text
+
+
+def test_a_full_memo_keeps_frequent_parts(made, monkeypatch):
+    bpe, _ = made
+    monkeypatch.setattr(W, "MEMO", 20)
+    words, cut = bpe.words, []
+    monkeypatch.setattr(bpe, "words", lambda piece: (cut.append(piece), words(piece))[1])
+    encoder = W.Encoder(bpe, W.Transducer.compiled({}), shown=True)
+    for i in range(50):  # every other group is without it
+        list(encoder.encode_shown([" ".join(["of"] * (i % 2 == 0) + [f"a{i}b{j}" for j in range(5)])]))
+    assert cut.count("of") == 1 and len(cut) == 251
